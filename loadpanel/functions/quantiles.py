@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from loadpanel.scale import lookup_join, materialize
+from loadpanel.scale import groups_within, lookup_join, materialize
 
 GROUP_ROWS = 500_000
 BINS = 8192
@@ -28,16 +28,16 @@ def exact_quantiles(
     probs: Mapping[str, float],
     group_rows: int = GROUP_ROWS,
     bins: int = BINS,
+    total: int | None = None,
 ) -> DataFrame:
     """One row per group with the interpolated quantiles in ``probs`` (name -> p).
 
-    NULLs do not count; a group with only NULLs gets NULL quantiles.
+    NULLs do not count; a group with only NULLs gets NULL quantiles. ``total``
+    is an upper bound of the rows of ``df``, if known, and may save a count.
     """
     keys = list(keys)
     base = df.select(*keys, F.col(value).cast("double").alias(_V))
-    counts = base.groupBy(*keys).agg(F.count(_V).alias("n"))
-    largest = counts.agg(F.max("n")).first()[0] or 0
-    if largest <= group_rows:
+    if groups_within(base, keys, group_rows, total):
         wanted = F.percentile(_V, [float(p) for p in probs.values()])
         return base.groupBy(*keys).agg(wanted.alias("q")).select(
             *keys, *[F.col("q")[i].alias(name) for i, name in enumerate(probs)]

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from loadpanel.models.base import GROUP, ResidualQuantiles
-from loadpanel.operators.folds import FoldPlan, trained_folds
+from loadpanel.operators.folds import FoldPlan
 from loadpanel.scale import lookup_join, materialize
 
 
@@ -38,29 +38,25 @@ class RidgeForecaster(ResidualQuantiles):
             ),
             "ridge-shift",
         )
-        centred = lookup_join(train, shift, ["entity_id"], spread="ts_utc").select(
+        centred = lookup_join(train, shift, ["entity_id"], spread="ts_utc").selectExpr(
             "entity_id",
             "first_train_fold",
-            *[(F.col(c) - F.col(f"_m{i}")).alias(f"_z{i}") for i, c in enumerate(variables)],
+            *[f"`{c}` - _m{i} as _z{i}" for i, c in enumerate(variables)],
         )
-        z = [F.col(f"_z{i}") for i in range(len(variables))]
-        moments = {f"_s{i}": z[i] for i in range(len(z))}
-        moments |= {f"_p{i}_{j}": z[i] * z[j] for i in range(len(z)) for j in range(i, len(z))}
+        z = range(len(variables))
+        sums = [f"sum(_z{i})" for i in z] + [f"sum(_z{i} * _z{j})" for i in z for j in z if i <= j]
         partial = centred.groupBy("entity_id", "first_train_fold").agg(
-            F.count("*").alias("n"), *[F.sum(c).alias(name) for name, c in moments.items()]
+            F.expr("cast(count(*) as double) as n"), F.expr(f"array({', '.join(sums)}) as moments")
         )
-        totals = (
-            partial.withColumn("fold", F.explode(trained_folds(plan)))
-            .groupBy(*GROUP)
-            .agg(F.sum("n").alias("n"), *[F.sum(name).alias(name) for name in moments])
-        )
-        solved = lookup_join(totals, shift, ["entity_id"], spread="fold").select(
-            *GROUP,
-            _solver(len(self.features), self.alpha)(
-                F.col("n").cast("double"),
-                F.array(*moments),
-                F.array(*[f"_m{i}" for i in range(len(variables))]),
-            ).alias("beta"),
+        # At most n_folds rows per entity from here on.
+        centre = shift.selectExpr("entity_id", f"array({', '.join(f'_m{i}' for i in z)}) as centre")
+        solved = (
+            lookup_join(partial, centre, ["entity_id"], spread="first_train_fold")
+            .groupBy("entity_id")
+            .applyInPandas(
+                _solver(len(self.features), self.alpha, plan.n_folds),
+                "entity_id string, fold long, beta array<double>",
+            )
         )
         self.coefficients = materialize(solved, "ridge-coefficients")
         return self
@@ -77,25 +73,28 @@ class RidgeForecaster(ResidualQuantiles):
         )
 
 
-def _solver(p: int, alpha: float):
-    """Vectorised UDF: (n, sums and upper triangle of products, shift) -> beta.
-
-    Runs on one row per (entity, fold), not on data rows.
-    """
+def _solver(p: int, alpha: float, n_folds: int):
+    """Per entity: partial sums by first fold -> (entity, fold, intercept and slopes)."""
     upper = np.triu_indices(p + 1)
 
-    @F.pandas_udf("array<double>")
-    def solve(n: pd.Series, moments: pd.Series, shift: pd.Series) -> pd.Series:
-        out = []
-        for count, values, centre in zip(n, moments, shift):
-            mean = values[: p + 1] / count
+    def solve(segments: pd.DataFrame) -> pd.DataFrame:
+        segments = segments.sort_values("first_train_fold")
+        count, moments, out = 0.0, np.zeros(p + 1 + len(upper[0])), []
+        starts = dict(zip(segments["first_train_fold"], zip(segments["n"], segments["moments"])))
+        centre = np.asarray(segments["centre"].iloc[0])
+        for fold in range(int(min(starts)), n_folds):
+            if fold in starts:
+                count, moments = count + starts[fold][0], moments + np.asarray(starts[fold][1])
+            mean = moments[: p + 1] / count
             products = np.zeros((p + 1, p + 1))
-            products[upper] = values[p + 1 :]
-            scatter = products - count * np.outer(mean, mean)
-            gram = np.triu(scatter) + np.triu(scatter, 1).T
+            products[upper] = moments[p + 1 :]
+            scatter = products - count * np.triu(np.outer(mean, mean))
+            gram = scatter + np.triu(scatter, 1).T
             slopes = np.linalg.solve(gram[:p, :p] + alpha * np.eye(p), gram[:p, p])
-            centre = centre + mean
-            out.append(np.concatenate([[centre[p] - slopes @ centre[:p]], slopes]))
-        return pd.Series(out)
+            level = centre + mean
+            out.append((fold, np.concatenate([[level[p] - slopes @ level[:p]], slopes])))
+        frame = pd.DataFrame(out, columns=["fold", "beta"])
+        frame.insert(0, "entity_id", segments["entity_id"].iloc[0])
+        return frame
 
     return solve

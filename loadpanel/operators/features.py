@@ -20,11 +20,11 @@ def local_calendar(df: DataFrame, tz: DataFrame, ts: str = "ts_utc") -> DataFram
 
     Rows of entities without a zone are dropped (inner join).
     """
-    zoned = lookup_join(df, tz.select("entity_id", "tzname"), ["entity_id"], spread=ts)
+    zoned = lookup_join(df, tz, ["entity_id"], spread=ts)
     return (
         zoned.withColumn("_wall", local_time(ts, "tzname"))
         .withColumns(calendar_fields(F.col("_wall")))
-        .drop("tzname", "_wall")
+        .drop("_wall", *[c for c in tz.columns if c != "entity_id"])
     )
 
 
@@ -98,7 +98,7 @@ def feature_sanity(features: DataFrame) -> DataFrame:
 
 def timezone_check(features: DataFrame, tz: DataFrame) -> DataFrame:
     """Each instant beside its local wall clock and the stored local hour."""
-    zoned = lookup_join(features, tz.select("entity_id", "tzname"), ["entity_id"], spread="ts_utc")
+    zoned = lookup_join(features, tz, ["entity_id"], spread="ts_utc")
     return zoned.select(
         "entity_id", "ts_utc", local_time("ts_utc", "tzname").alias("ts_local"), "hour_local"
     )

@@ -97,7 +97,7 @@ def assign_folds(
     at, last, kept = F.col(ts), F.col("last_ts"), F.col("_kept")
     tested, trained = test_fold(at, last, plan), first_train_fold(at, last, plan)
     return (
-        lookup_join(df, ends.select(entity, "first_ts", "last_ts"), [entity], spread=ts)
+        lookup_join(df, ends, [entity], spread=ts)
         .withColumn("_kept", first_kept_fold(F.col("first_ts"), last, plan))
         .withColumn("test_fold", F.when(tested >= kept, tested))
         .withColumn(

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from loadpanel.functions.columns import HOUR_US, fixed_point, floor_div, micros, safe_corr
-from loadpanel.scale import largest_group, lookup_join, materialize
+from loadpanel.scale import groups_within, lookup_join, materialize, row_bound
 
 # Lags, weekly offsets, rolling frame and the longest lead, in hours.
 LAGS = (48, 168, 336)
@@ -64,14 +64,14 @@ def add_lags(
 ) -> DataFrame:
     """Append ``lag_<n>h``, the same-hour weekly mean and the rolling mean.
 
-    ``strict`` counts hours instead of rows. Pass a stored table: the row form
-    counts its rows before it decides how to run.
+    ``strict`` counts hours instead of rows. Pass a stored table: unless its size
+    is known, the row form counts its rows before it decides how to run.
     """
     check_lead([*lags, *weekly], rolling, min_lead)
     reach = max([*lags, *weekly, *(rolling or ())])
     if strict:
         framed, window = _cut_by_time(features, entity, ts, reach, span_hours), _hours
-    elif largest_group(features, [entity]) <= task_rows:
+    elif groups_within(features, [entity], task_rows, row_bound(features)):
         framed = features.withColumns(
             {_OWN: F.lit(True), _PART: F.lit(0), _ORDER: F.col(ts)}
         )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loadpanel.functions.columns import relative_error
 from loadpanel.functions.quantiles import exact_quantiles
-from loadpanel.scale import lookup_join, materialize
+from loadpanel.scale import lookup_join, materialize, row_bound
 
 # The chosen band and the bands it was weighed against.
 BAND = (0.2, 3.0)
@@ -19,7 +19,8 @@ MAX_RELATIVE_ERROR = 0.5
 def entity_medians(obs: DataFrame, series: str = "D") -> DataFrame:
     """Median of the raw series per entity, bad rows included, computed once."""
     raw = obs.where(F.col("series_type") == series)
-    return materialize(exact_quantiles(raw, ["entity_id"], "value", {"med": 0.5}), "medians")
+    medians = exact_quantiles(raw, ["entity_id"], "value", {"med": 0.5}, total=row_bound(obs))
+    return materialize(medians, "medians")
 
 
 def with_median(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loadpanel.functions.columns import DAY_US, micros
 from loadpanel.functions.quantiles import exact_quantiles
-from loadpanel.scale import key_filter, materialize
+from loadpanel.scale import key_filter, materialize, row_bound
 from loadpanel.schema import EmptyColumn, KeyViolation
 
 # The reported points of the value distribution.
@@ -104,7 +104,7 @@ def value_distribution(
     """Per entity: minimum, exact quantiles and maximum."""
     points = {"min_val": 0.0, **probs, "max_val": 1.0}
     rows = obs.where(F.col("series_type") == series)
-    return exact_quantiles(rows, ["entity_id"], "value", points)
+    return exact_quantiles(rows, ["entity_id"], "value", points, total=row_bound(obs))
 
 
 def covariate_profile(cov: DataFrame) -> DataFrame:

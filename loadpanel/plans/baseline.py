@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from loadpanel.functions.columns import abs_error, relative_error
 from loadpanel.functions.quantiles import exact_quantiles
 from loadpanel.operators.plausibility import MAX_RELATIVE_ERROR, pair, plausible
-from loadpanel.scale import materialize
+from loadpanel.scale import materialize, row_bound
 
 # The reported points of the error distribution.
 ERROR_POINTS = {"p50": 0.50, "p90": 0.90, "p99": 0.99}
@@ -42,16 +42,16 @@ def _score(errors: DataFrame) -> DataFrame:
 def baseline_score(pairs: DataFrame) -> DataFrame:
     """Per entity: hours, mean absolute error, mean and median percentage error."""
     errors = materialize(_errors(pairs), "baseline-errors")
-    medians = exact_quantiles(errors, ["entity_id"], "ape", {"m": 0.5}).select(
-        "entity_id", F.round(F.col("m") * 100, 2).alias("median_ape_pct")
-    )
+    medians = exact_quantiles(
+        errors, ["entity_id"], "ape", {"m": 0.5}, total=row_bound(errors)
+    ).select("entity_id", F.round(F.col("m") * 100, 2).alias("median_ape_pct"))
     return _score(errors).join(medians, "entity_id").orderBy("mape_pct", "entity_id")
 
 
 def error_quantiles(pairs: DataFrame, probs: Mapping[str, float] = ERROR_POINTS) -> DataFrame:
     """Per entity: quantiles of the percentage error."""
     errors = materialize(_errors(pairs), "baseline-errors")
-    points = exact_quantiles(errors, ["entity_id"], "ape", probs)
+    points = exact_quantiles(errors, ["entity_id"], "ape", probs, total=row_bound(errors))
     rounded = [F.round(F.col(name) * 100, 2).alias(name) for name in probs]
     return points.select("entity_id", *rounded).orderBy(next(iter(probs)), "entity_id")
 

@@ -81,7 +81,7 @@ def _lagged(spark: SparkSession, sf_dir: str, obs: DataFrame | None = None) -> D
 
 
 def _backtest(spark: SparkSession, sf_dir: str, inputs=MODEL_FEATURES, plan=FoldPlan()) -> Backtest:
-    return Backtest(materialize(_lagged(spark, sf_dir), "lagged"), inputs, plan=plan)
+    return Backtest(_lagged(spark, sf_dir), inputs, plan=plan)
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -521,8 +521,7 @@ def ladder_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _skill(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = _daily(spark, sf_dir)
-    lagged = materialize(_lagged(spark, sf_dir, obs), "lagged")
-    predictions = Backtest(lagged).predictions(MeanForecaster())
+    predictions = Backtest(_lagged(spark, sf_dir, obs)).predictions(MeanForecaster())
     return skill(predictions, baseline.paired_forecasts(obs))
 
 

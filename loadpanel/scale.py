@@ -7,15 +7,19 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import lru_cache
+from weakref import WeakKeyDictionary
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # A table is broadcast only up to this many (narrow) rows.
 BROADCAST_ROWS = 100_000
 # Copies of the lookup side in the salted join used beyond that bound.
 SALTS = 64
 
+# Row counts that came for free: counted while a table was written, or built here.
+_ROWS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
 
 @lru_cache(maxsize=None)
 def _local_scratch(app_id: str) -> str:
@@ -46,14 +50,34 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     if base is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _ROWS[out] = counted.get["rows"]
+    return out
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small table from Python rows."""
+    out = spark.createDataFrame(list(rows), schema)
+    _ROWS[out] = len(rows)
+    return out
+
+
+def row_bound(df: DataFrame) -> int | None:
+    """Row count of a table from this module, None for any other frame.
+
+    A count taken during a write can only be too high, after a task was rerun,
+    so it is safe as an upper bound.
+    """
+    return _ROWS.get(df)
 
 
 def is_small(table: DataFrame, max_rows: int | None = None) -> bool:
     """Whether ``table`` has at most ``max_rows`` rows; reads no more than needed."""
     bound = BROADCAST_ROWS if max_rows is None else max_rows
-    return table.limit(bound + 1).count() <= bound
+    known = row_bound(table)
+    return (table.limit(bound + 1).count() if known is None else known) <= bound
 
 
 def lookup_join(
@@ -65,11 +89,10 @@ def lookup_join(
 ) -> DataFrame:
     """Inner join of a large frame with a lookup table that may not be small.
 
-    Counts the table first. Within the bound it is broadcast and the fact side
-    does not move. Beyond it, each key is split over ``SALTS`` sub-keys by a hash
+    Within the bound the table is broadcast and the fact side does not move. Beyond it, each key is split over ``SALTS`` sub-keys by a hash
     of the fact column ``spread``, so one entity with a third of all rows still
-    lands in many tasks. ``table`` should be materialized or cheap: it is read
-    once for the count and once for the join.
+    lands in many tasks. ``table`` should be materialized or cheap: a frame of
+    unknown size is read once to count it and once for the join.
     """
     on = list(on)
     if is_small(table, max_rows):
@@ -89,6 +112,12 @@ def key_filter(fact: DataFrame, keys: DataFrame, on: Sequence[str], max_rows: in
     return fact.join(side, list(on), "left_semi")
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest group, from a map-side-combined count."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def groups_within(df: DataFrame, keys: Sequence[str], bound: int, total: int | None = None) -> bool:
+    """Whether no group has more than ``bound`` rows.
+
+    ``total`` is an upper bound of all rows, if one is known; only beyond it are
+    the groups counted (map-side combined).
+    """
+    if total is not None and total <= bound:
+        return True
+    return (df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) <= bound

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from loadpanel.scale import local_table
 
 KEYS = ("entity_id", "ts_utc")
 
@@ -78,10 +80,10 @@ REGIONS = (
 )
 
 
-def regions(spark) -> DataFrame:
+def regions(spark: SparkSession) -> DataFrame:
     """The region table as a DataFrame (entity_id, tzname, city, lat, lon)."""
-    return spark.createDataFrame(
-        list(REGIONS), "entity_id string, tzname string, city string, lat double, lon double"
+    return local_table(
+        spark, REGIONS, "entity_id string, tzname string, city string, lat double, lon double"
     )
 
 

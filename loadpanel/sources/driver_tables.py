@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loadpanel.operators.reshape import melt
-from loadpanel.scale import materialize
+from loadpanel.scale import local_table, materialize
 from loadpanel.schema import COVARIATE_KEYS, OBSERVATION_KEYS
 from loadpanel.session import pin_utc
 from loadpanel.sources.tables import load
@@ -77,7 +77,7 @@ def covariates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zones(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ZONES), "entity_id string, tzname string")
+    return local_table(spark, ZONES, "entity_id string, tzname string")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
