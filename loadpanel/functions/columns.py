@@ -2,44 +2,68 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
+from loadpanel.session import is_utc
+
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
 
 
 def micros(ts: Column | str) -> Column:
-    """Microseconds since 1970 of a zone-less timestamp, free of the session zone."""
+    """Microseconds since 1970 of a zone-less UTC timestamp.
+
+    In a UTC session the cast to an instant changes nothing and is nearly free;
+    in any other it would shift, so the difference to the epoch is taken.
+    """
     ts = F.col(ts) if isinstance(ts, str) else ts
+    if is_utc():
+        return F.unix_micros(ts.cast("timestamp"))
     epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
     return F.timestamp_diff("MICROSECOND", epoch, ts)
 
 
-def hours_before(ts: Column, hours: Column | int) -> Column:
-    hours = F.lit(hours) if isinstance(hours, int) else hours
-    return ts - F.make_dt_interval(F.lit(0), hours.cast("int"))
-
-
 def floor_div(a: Column, b: int) -> Column:
     """Integer floor division, exact for negative ``a`` too."""
     step = F.lit(b).cast("long")
     return F.call_function("div", a - F.pmod(a, step), step)
 
 
-def fixed_point(value: Column | str) -> Column:
-    """Six-decimal form, in which a sum does not depend on the order of its terms."""
+# Sums that must not depend on the order of their terms run over millionths.
+MILLION = 1_000_000
+
+
+def millionths(value: Column | str) -> Column:
+    """A double as a whole number of millionths; raises beyond the range of a long."""
     value = F.col(value) if isinstance(value, str) else value
-    return value.cast("decimal(18,6)")
+    return F.rint(value * MILLION).cast("long")
+
+
+def wide_sum(whole: Column) -> Column:
+    """Sum of whole numbers with room for any number of rows."""
+    return F.sum(whole.cast("decimal(19,0)"))
 
 
 def fixed_sum(value: Column | str) -> Column:
     """Order-independent sum of a double column, as a double."""
-    return F.sum(fixed_point(value)).cast("double")
+    return wide_sum(millionths(value)).cast("double") / MILLION
+
 
+def local_time(ts: Column | str, zone: Column | str, known: Sequence[str] = ()) -> Column:
+    """Wall clock of a UTC instant in the zone named in each row.
 
-def local_time(ts: Column | str, zone: Column | str) -> Column:
-    """Wall clock of a UTC instant in the zone named in each row."""
-    return F.convert_timezone(F.lit("UTC"), zone, ts)
+    Looking a zone up by name costs more than the conversion. If the zones are
+    ``known``, each gets a branch in which its rules are a constant.
+    """
+    if not known or not is_utc():
+        return F.convert_timezone(F.lit("UTC"), zone, ts)
+    zone = F.col(zone) if isinstance(zone, str) else zone
+    wall = F.lit(None).cast("timestamp")
+    for name in known:
+        wall = F.when(zone == name, F.from_utc_timestamp(ts, name)).otherwise(wall)
+    return wall.cast("timestamp_ntz")
 
 
 def calendar_fields(wall: Column) -> dict[str, Column]:

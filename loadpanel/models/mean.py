@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from loadpanel.functions.columns import fixed_point
+from loadpanel.functions.columns import MILLION, millionths, wide_sum
 from loadpanel.models.base import GROUP, ResidualQuantiles
 from loadpanel.operators.folds import FoldPlan, trained_folds
 from loadpanel.scale import lookup_join, materialize
@@ -25,12 +25,12 @@ class MeanForecaster(ResidualQuantiles):
         partial = (
             rows.where("first_train_fold is not null")
             .groupBy("entity_id", "first_train_fold")
-            .agg(F.sum(fixed_point(target)).alias("s"), F.count(target).alias("n"))
+            .agg(wide_sum(millionths(target)).alias("s"), F.count(target).alias("n"))
         )
         total = (
             partial.withColumn("fold", F.explode(trained_folds(plan)))
             .groupBy(*GROUP)
-            .agg((F.sum("s").cast("double") / F.sum("n")).alias("mean"))
+            .agg((F.sum("s").cast("double") / MILLION / F.sum("n")).alias("mean"))
         )
         self.means = materialize(total, "train-means")
         return self

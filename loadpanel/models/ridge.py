@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from loadpanel.models.base import GROUP, ResidualQuantiles
 from loadpanel.operators.folds import FoldPlan
-from loadpanel.scale import lookup_join, materialize
+from loadpanel.scale import is_small, lookup_join, materialize
+from loadpanel.session import setting
 
 
 class RidgeForecaster(ResidualQuantiles):
@@ -29,7 +30,7 @@ class RidgeForecaster(ResidualQuantiles):
         self._remember(rows, target, plan)
         self.features = list(features)
         variables = [*self.features, target]
-        train = rows.where("first_train_fold is not null")
+        train = rows.where("first_train_fold is not null").dropna(subset=variables)
         # Sums of squares of raw values lose digits; any fixed shift per entity
         # leaves slopes and predictions as they are.
         shift = materialize(
@@ -41,7 +42,8 @@ class RidgeForecaster(ResidualQuantiles):
         centred = lookup_join(train, shift, ["entity_id"], spread="ts_utc").selectExpr(
             "entity_id",
             "first_train_fold",
-            *[f"`{c}` - _m{i} as _z{i}" for i, c in enumerate(variables)],
+            # No value is null any more; saying so spares a null check per product.
+            *[f"coalesce(`{c}` - _m{i}, 0d) as _z{i}" for i, c in enumerate(variables)],
         )
         z = range(len(variables))
         sums = [f"sum(_z{i})" for i in z] + [f"sum(_z{i} * _z{j})" for i in z for j in z if i <= j]
@@ -49,16 +51,19 @@ class RidgeForecaster(ResidualQuantiles):
             F.expr("cast(count(*) as double) as n"), F.expr(f"array({', '.join(sums)}) as moments")
         )
         # At most n_folds rows per entity from here on.
+        few = is_small(shift)
         centre = shift.selectExpr("entity_id", f"array({', '.join(f'_m{i}' for i in z)}) as centre")
         solved = (
-            lookup_join(partial, centre, ["entity_id"], spread="first_train_fold")
+            lookup_join(partial, centre, ["entity_id"], spread="first_train_fold", small=few)
             .groupBy("entity_id")
             .applyInPandas(
                 _solver(len(self.features), self.alpha, plan.n_folds),
                 "entity_id string, fold long, beta array<double>",
             )
         )
-        self.coefficients = materialize(solved, "ridge-coefficients")
+        # Whole-stage code generation stops at 100 columns by default.
+        with setting(rows.sparkSession, "spark.sql.codegen.maxFields", str(10 * len(sums))):
+            self.coefficients = materialize(solved, "ridge-coefficients")
         return self
 
     def predict(self, rows: DataFrame) -> DataFrame:

@@ -14,6 +14,9 @@ from loadpanel.schema import COVARIATE_COLUMNS, KEYS
 
 BALANCE_POINT_C = 18.0
 
+# Rows of a zone table up to which each zone is compiled into the plan.
+MAX_ZONES = 64
+
 
 def local_calendar(df: DataFrame, tz: DataFrame, ts: str = "ts_utc") -> DataFrame:
     """Append the local calendar columns; ``tz`` maps entity_id to tzname.
@@ -22,12 +25,18 @@ def local_calendar(df: DataFrame, tz: DataFrame, ts: str = "ts_utc") -> DataFram
     """
     zoned = lookup_join(df, tz, ["entity_id"], spread=ts)
     return (
-        zoned.withColumn("_wall", local_time(ts, "tzname"))
+        zoned.withColumn("_wall", local_time(ts, "tzname", _zones(tz)))
         .withColumns(calendar_fields(F.col("_wall")))
         .drop("_wall", *[c for c in tz.columns if c != "entity_id"])
     )
 
 
+def _zones(tz: DataFrame) -> list[str]:
+    """The zones of a lookup table with few rows, none for a larger one."""
+    names = tz.select("tzname").limit(MAX_ZONES + 1).collect()
+    return sorted({r["tzname"] for r in names}) if len(names) <= MAX_ZONES else []
+
+
 def degree_days(
     df: DataFrame, base: float = BALANCE_POINT_C, temp: str = "temp_c"
 ) -> DataFrame:
@@ -100,7 +109,7 @@ def timezone_check(features: DataFrame, tz: DataFrame) -> DataFrame:
     """Each instant beside its local wall clock and the stored local hour."""
     zoned = lookup_join(features, tz, ["entity_id"], spread="ts_utc")
     return zoned.select(
-        "entity_id", "ts_utc", local_time("ts_utc", "tzname").alias("ts_local"), "hour_local"
+        "entity_id", "ts_utc", local_time("ts_utc", "tzname", _zones(tz)).alias("ts_local"), "hour_local"
     )
 
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loadpanel.functions.columns import DAY_US, HOUR_US, floor_div, micros
-from loadpanel.scale import lookup_join
+from loadpanel.scale import is_small, lookup_join
 
 
 @dataclass(frozen=True)
@@ -65,21 +65,24 @@ def fold_bounds(ends: DataFrame, plan: FoldPlan = FoldPlan(), entity: str = "ent
     )
 
 
-def test_fold(ts: Column, end: Column, plan: FoldPlan) -> Column:
-    """Fold whose test window (start, end] holds the row, NULL if none does."""
-    k = F.lit(plan.n_folds - 1) - floor_div(micros(end) - micros(ts), plan.span_us)
+def test_fold(at: Column, end: Column, plan: FoldPlan) -> Column:
+    """Fold whose test window (start, end] holds the row, NULL if none does.
+
+    ``at`` and ``end`` are microseconds, here and below.
+    """
+    k = F.lit(plan.n_folds - 1) - floor_div(end - at, plan.span_us)
     return F.when(k.between(0, plan.n_folds - 1), k)
 
 
-def first_train_fold(ts: Column, end: Column, plan: FoldPlan) -> Column:
+def first_train_fold(at: Column, end: Column, plan: FoldPlan) -> Column:
     """First fold that trains on the row (all later ones do too), NULL if none does."""
-    j = F.lit(plan.n_folds) - floor_div(micros(end) - micros(ts) - plan.gap_us, plan.span_us)
+    j = F.lit(plan.n_folds) - floor_div(end - at - plan.gap_us, plan.span_us)
     return F.when(j < plan.n_folds, F.greatest(j, F.lit(0).cast("long")))
 
 
-def first_kept_fold(first: Column, last: Column, plan: FoldPlan) -> Column:
+def first_kept_fold(start: Column, end: Column, plan: FoldPlan) -> Column:
     """First fold with a long enough training span; ``n_folds`` or more if none has."""
-    slack = micros(last) - micros(first) - plan.gap_us - plan.min_train_days * DAY_US
+    slack = end - start - plan.gap_us - plan.min_train_days * DAY_US
     return F.greatest(F.lit(0).cast("long"), F.lit(plan.n_folds) - floor_div(slack, plan.span_us))
 
 
@@ -94,17 +97,21 @@ def assign_folds(
 
     ``ends`` is the ``history``. Both columns are NULL for a row no fold uses.
     """
-    at, last, kept = F.col(ts), F.col("last_ts"), F.col("_kept")
-    tested, trained = test_fold(at, last, plan), first_train_fold(at, last, plan)
+    at, end, kept = micros(ts), F.col("_end"), F.col("_kept")
+    tested, trained = test_fold(at, end, plan), first_train_fold(at, end, plan)
+    first, last = micros("first_ts"), micros("last_ts")
+    small = is_small(ends)
+    per_entity = ends.select(
+        entity, last.alias("_end"), first_kept_fold(first, last, plan).alias("_kept")
+    )
     return (
-        lookup_join(df, ends, [entity], spread=ts)
-        .withColumn("_kept", first_kept_fold(F.col("first_ts"), last, plan))
+        lookup_join(df, per_entity, [entity], spread=ts, small=small)
         .withColumn("test_fold", F.when(tested >= kept, tested))
         .withColumn(
             "first_train_fold",
             F.when(trained.isNotNull() & (kept < plan.n_folds), F.greatest(trained, kept)),
         )
-        .drop("first_ts", "last_ts", "_kept")
+        .drop("_end", "_kept")
     )
 
 

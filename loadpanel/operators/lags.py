@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
-from loadpanel.functions.columns import HOUR_US, fixed_point, floor_div, micros, safe_corr
+from loadpanel.functions.columns import HOUR_US, MILLION, floor_div, micros, millionths, safe_corr
 from loadpanel.scale import groups_within, lookup_join, materialize, row_bound
 
 # Lags, weekly offsets, rolling frame and the longest lead, in hours.
@@ -103,7 +103,7 @@ def add_lags(
 
 
 def _fixed_sum_over(value: str, frame: WindowSpec) -> Column:
-    return F.sum(fixed_point(value)).over(frame).cast("double")
+    return F.sum(millionths(value)).over(frame) / MILLION
 
 
 def _rows(ordered: WindowSpec, value: str, n: int) -> Column:

@@ -86,16 +86,18 @@ def lookup_join(
     on: Sequence[str],
     spread: str,
     max_rows: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Inner join of a large frame with a lookup table that may not be small.
 
     Within the bound the table is broadcast and the fact side does not move. Beyond it, each key is split over ``SALTS`` sub-keys by a hash
     of the fact column ``spread``, so one entity with a third of all rows still
     lands in many tasks. ``table`` should be materialized or cheap: a frame of
-    unknown size is read once to count it and once for the join.
+    unknown size is read once to count it and once for the join, unless ``small``
+    says what is known of it.
     """
     on = list(on)
-    if is_small(table, max_rows):
+    if is_small(table, max_rows) if small is None else small:
         return fact.join(F.broadcast(table), on)
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Read and write every instant as UTC, whatever zone the machine is in."""
@@ -11,6 +16,23 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_utc(spark: SparkSession | None = None) -> bool:
+    """Whether the session reads wall clocks as UTC."""
+    spark = spark or SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.session.timeZone") in UTC_NAMES
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs run inside the block."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def local_session(cores: str = "8", app: str = "loadpanel", **conf: str) -> SparkSession:
     """A session for tests and the local benchmark; clusters bring their own."""
     settings = {

@@ -8,6 +8,8 @@ entities do not limit their parallelism.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loadpanel.operators.reshape import melt
@@ -19,25 +21,33 @@ from loadpanel.sources.tables import load
 ZONES = (("A", "America/Los_Angeles"), ("N", "America/Chicago"), ("R", "America/New_York"))
 
 
-def _percent(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("int")
+def _hundredths(column: str) -> Column:
+    """A two-decimal column as a whole number of hundredths; ``rint`` is one JVM instruction."""
+    return F.rint(F.col(column) * 100).cast("long")
 
 
 def daily_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily revenue as series ``D`` and revenue after discount and tax as ``DF``."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    charged = price * (F.lit(100) - _percent("l_discount")) * (F.lit(100) + _percent("l_tax"))
+    """Daily revenue as series ``D`` and revenue after discount and tax as ``DF``.
+
+    Sums run over whole numbers: exact in any order, and they raise if they overflow.
+    """
+    cents = _hundredths("l_extendedprice")
+    charged = cents * (100 - _hundredths("l_discount")) * (100 + _hundredths("l_tax"))
     days = (
         load(pin_utc(spark), sf_dir, "lineitem")
         .groupBy(F.col("l_returnflag").alias("entity_id"), F.col("l_shipdate").alias("ts_utc"))
         .agg(
-            F.sum(price).cast("double").alias("D"),
-            (F.sum(charged).cast("double") / 10000).alias("DF"),
+            (F.sum(cents) / 100).alias("D"),
+            (_two_decimals(F.sum(charged)) / 10000).alias("DF"),
         )
     )
     return days.unpivot(["entity_id", "ts_utc"], ["D", "DF"], "series_type", "value")
 
 
+def _two_decimals(hundredths: Column) -> Column:
+    return (hundredths.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("double")
+
+
 def hourly_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly event value; even event ids give series ``D``, odd ones ``DF``."""
     series = F.when(F.col("event_id") % 2 == 0, "D").otherwise("DF")
@@ -48,7 +58,7 @@ def hourly_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts_utc"),
             series.alias("series_type"),
         )
-        .agg(F.sum(F.col("value").cast("decimal(12,2)")).cast("double").alias("value"))
+        .agg((F.sum(_hundredths("value")) / 100).alias("value"))
         .select(*OBSERVATION_KEYS, "value")
     )
 
@@ -64,8 +74,8 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.when(rows > 1, F.avg("l_quantity") - 7.5).alias("temperature_2m"),
             F.nullif(F.min("l_quantity"), F.lit(1.0)).alias("dewpoint_2m"),
-            (F.sum(_percent("l_discount")).cast("double") / rows * 10).alias("relative_humidity_2m"),
-            (F.sum(_percent("l_tax")).cast("double") / rows).alias("wind_speed_10m"),
+            (F.sum(_hundredths("l_discount")).cast("double") / rows * 10).alias("relative_humidity_2m"),
+            (F.sum(_hundredths("l_tax")).cast("double") / rows).alias("wind_speed_10m"),
             (F.lit(100.0) * open_lines.cast("double") / rows).alias("cloud_cover"),
             (F.max("l_extendedprice") / 100).alias("shortwave_radiation"),
         )
