@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loadpanel.models.base import ResidualQuantiles
 from loadpanel.operators.folds import FoldPlan
-from loadpanel.scale import is_small
+from loadpanel.scale import is_small, materialize
 
 # Most entities that get an ensemble of their own.
 MAX_ENSEMBLES = 1_000
@@ -48,6 +48,9 @@ class BoostedTreesForecaster(ResidualQuantiles):
         self._remember(rows, target, plan)
         self.features = list(features)
         train = rows.where("first_train_fold is not null")
+        if not self.pooled:
+            # Every fit reads one entity: files of consecutive rows let it skip the rest.
+            train = materialize(train.repartitionByRange("entity_id", "ts_utc"), "tree-rows")
         learner = GBTRegressor(
             featuresCol="_x",
             labelCol=target,

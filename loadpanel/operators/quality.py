@@ -33,11 +33,15 @@ def assert_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
-    """Every row whose key is repeated, in key order (the first ``limit`` if given)."""
+    """Every row whose key is repeated, or the first ``limit`` of them in full order.
+
+    The whole listing is not sorted: a range sort would bring all copies of one
+    key into one task.
+    """
     repeated = materialize(key_violations(df, keys).select(*keys), "repeated-keys")
     rows = key_filter(df, repeated, keys)
     if limit is None:
-        return rows.orderBy(*keys)
+        return rows
     rest = [c for c in df.columns if c not in keys]
     return rows.orderBy(*keys, *rest).limit(limit)
 

@@ -6,6 +6,7 @@ of doubles depends on the order in which partitions are merged.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -130,19 +131,25 @@ def ingest_columnar_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_columnar(documents)
 
 
+def _table_path(spark: SparkSession, name: str) -> str:
+    folder = scratch_dir(spark)
+    if folder is None:
+        raise RuntimeError("name a shared folder in spark.checkpoint.dir to store tables")
+    return f"{folder}/{spark.sparkContext.applicationId}/store-{uuid.uuid4().hex}/{name}"
+
+
 @query
 def store_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checked replacement of the observation table, read back."""
     obs = daily_obs(spark, sf_dir).select(*OBSERVATION_KEYS, "value")
-    path = f"{scratch_dir(spark) or sf_dir}/store-{spark.sparkContext.applicationId}/observations"
+    path = _table_path(spark, "observations")
     return replace_table(obs, path, keys=OBSERVATION_KEYS, partition_by="series_type")
 
 
 @query
 def store_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table, stored as derived table and read back by a narrow scan."""
-    path = f"{scratch_dir(spark) or sf_dir}/store-{spark.sparkContext.applicationId}/features"
-    table = replace_table(_features(spark, sf_dir), path)
+    table = replace_table(_features(spark, sf_dir), _table_path(spark, "features"))
     return table.groupBy("entity_id").agg(
         F.count("*").alias("n_rows"), F.max("demand_mw").alias("max_demand_mw")
     )
