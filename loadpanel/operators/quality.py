@@ -22,13 +22,13 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def assert_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Return ``df`` if its key is unique and never null, else raise with examples."""
-    absent = df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in keys]).first().asDict()
-    absent = {k: n for k, n in absent.items() if n}
-    if absent:
-        raise KeyViolation(f"null key columns: {absent}")
-    repeated = key_violations(df, keys).limit(5).collect()
-    if repeated:
-        raise KeyViolation(f"repeated keys, among them {[tuple(r) for r in repeated]}")
+    absent = F.lit(False)
+    for k in keys:
+        absent = absent | F.col(k).isNull()
+    bad = df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where((F.col("n_rows") > 1) | absent)
+    examples = [tuple(r) for r in bad.limit(5).collect()]
+    if examples:
+        raise KeyViolation(f"repeated or null keys {tuple(keys)}, among them {examples}")
     return df
 
 

@@ -496,13 +496,13 @@ def backtest_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def backtest_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees, with few small trees and two folds to keep the run short."""
-    trees = BoostedTreesForecaster(n_trees=5, learning_rate=0.3, depth=3, min_rows=20)
+    trees = BoostedTreesForecaster(n_trees=3, learning_rate=0.3, depth=3, min_rows=20)
     return _backtest(spark, sf_dir, plan=TREE_PLAN).run(trees)
 
 
 @query
 def backtest_gbt_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trees = BoostedTreesForecaster(n_trees=5, learning_rate=0.3, depth=3, min_rows=20, pooled=True)
+    trees = BoostedTreesForecaster(n_trees=3, learning_rate=0.3, depth=3, min_rows=20, pooled=True)
     return _backtest(spark, sf_dir, plan=TREE_PLAN).run(trees)
 
 

@@ -172,6 +172,40 @@ ridge_pred as (
   from test join moments using (entity_id, fold))"""
 
 
+def ridge_n(inputs: list[str], target: str = "demand_mw") -> str:
+    """Ridge on any number of inputs: Gauss-Jordan elimination, one common table per pivot."""
+    p, names = len(inputs), [f"cast({c} as double)" for c in [*inputs, target]]
+    cells = ", ".join(
+        f"{{'i': {i}, 'j': {j}, 'v': covar_pop({names[i]}, {names[j]}) * count(*) + {float(i == j)}}}"
+        for i in range(p)
+        for j in range(p + 1)
+    )
+    steps = [
+        f"""g{k + 1} as materialized (
+  select a.entity_id, a.fold, a.i, a.j,
+         case when a.i = {k} then a.v / d.v else a.v - r.v * c.v / d.v end as v
+  from g{k} a
+  join g{k} d on d.entity_id = a.entity_id and d.fold = a.fold and d.i = {k} and d.j = {k}
+  join g{k} r on r.entity_id = a.entity_id and r.fold = a.fold and r.i = a.i and r.j = {k}
+  join g{k} c on c.entity_id = a.entity_id and c.fold = a.fold and c.i = {k} and c.j = a.j)"""
+        for k in range(p)
+    ]
+    means = ", ".join(f"avg({c})" for c in names[:p])
+    first = f"""cells as (
+  select entity_id, fold, unnest([{cells}]) as cell from train group by entity_id, fold),
+g0 as materialized (select entity_id, fold, cell.i as i, cell.j as j, cell.v as v from cells)"""
+    last = f"""slopes as (
+  select entity_id, fold, list(v order by i) as b from g{p} where j = {p} group by all),
+ridge_fit as (
+  select *, my - list_dot_product(b, m) as b0
+  from (select entity_id, fold, [{means}] as m, avg({target}) as my from train group by all)
+  join slopes using (entity_id, fold)),
+ridge_pred as (
+  select test.*, b0 + list_dot_product(b, [{", ".join(names[:p])}]) as prediction
+  from test join ridge_fit using (entity_id, fold))"""
+    return ",\n".join([first, *steps, last])
+
+
 def scores(model: str, predictions: str) -> str:
     return f"""{model}_scores as (
   select '{model}' as model, entity_id, fold, train_end, test_start, test_end, n_train, n_test, mae, mape
@@ -252,6 +286,9 @@ FOLD_SUMMARY = """select model, entity_id, fold, strftime(train_end, '%Y-%m-%d')
        strftime(test_end, '%Y-%m-%d') as test_end, n_train, n_test,
        round(mae, 1) as mae, round(mape, 2) as mape from mean_scores"""
 
+LADDER = """select entity_id, model, count(*) as n_folds, round(avg(mape), 4) as mean_mape
+from (select * from mean_scores union all select * from ridge_scores) group by all"""
+
 DUPLICATES = """select l_orderkey, l_linenumber, l_partkey, l_extendedprice from lineitem
 where (l_orderkey, l_linenumber) in
       (select (l_orderkey, l_linenumber) from lineitem group by l_orderkey, l_linenumber having count(*) > 1)"""
@@ -513,6 +550,39 @@ from folds join sizes using (entity_id, fold)""",
         "backtest_ridge_2f": sql(
             *D_LAGGED, every, splits(two), ridge_2f(*two), scores("ridge", "ridge_pred"), rounded("ridge")
         ),
+        "backtest_ridge": sql(
+            *D_LAGGED,
+            every,
+            splits(MODEL_INPUTS),
+            ridge_n(MODEL_INPUTS),
+            scores("ridge", "ridge_pred"),
+            rounded("ridge"),
+        ),
+        "ladder_full": sql(
+            *MEAN_BACKTEST,
+            ridge_n(MODEL_INPUTS),
+            scores("mean", "mean_pred"),
+            scores("ridge", "ridge_pred"),
+            LADDER,
+        ),
+        "quantile_forecast_ridge": sql(
+            *D_LAGGED,
+            every,
+            splits(MODEL_INPUTS),
+            ridge_n(MODEL_INPUTS),
+            f"""residuals as (
+  select train.entity_id, train.fold,
+         demand_mw - b0 - list_dot_product(b, [{", ".join(f"cast({c} as double)" for c in MODEL_INPUTS)}])
+           as residual
+  from train join ridge_fit using (entity_id, fold)),
+shifts as (
+  select entity_id, fold, quantile_cont(residual, 0.05) as lo, quantile_cont(residual, 0.95) as hi
+  from residuals group by all)""",
+            """select entity_id, fold, count(*) as n_test,
+       count(*) filter (where demand_mw between prediction + lo and prediction + hi) / count(*)
+         as share_inside
+from ridge_pred join shifts using (entity_id, fold) group by all""",
+        ),
         "fold_summary": sql(*MEAN_BACKTEST, scores("mean", "mean_pred"), FOLD_SUMMARY),
         "model_ladder": sql(
             *D_LAGGED,
@@ -522,8 +592,7 @@ from folds join sizes using (entity_id, fold)""",
             ridge_1f(*one),
             scores("mean", "mean_pred"),
             scores("ridge", "ridge_pred"),
-            """select entity_id, model, count(*) as n_folds, round(avg(mape), 4) as mean_mape
-from (select * from mean_scores union all select * from ridge_scores) group by all""",
+            LADDER,
         ),
         "skill_vs_baseline": sql(
             *SKILL,

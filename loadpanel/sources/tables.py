@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from loadpanel.operators.quality import assert_key
+from loadpanel.scale import materialize
 
 
 def replace_table(
@@ -24,6 +25,9 @@ def replace_table(
     many files, and scans by entity or time skip files on their statistics.
     Partition by a column of few values (series or feature), never by entity.
     """
+    # The input is read for the key, for the range bounds and for the rows, so it
+    # is computed once; raw files would otherwise be parsed three times.
+    df = materialize(df, "incoming")
     if keys:
         assert_key(df, keys)
     order = [*([partition_by] if partition_by else []), *cluster_by]
@@ -35,8 +39,10 @@ def replace_table(
 
 
 def scan_entity(df: DataFrame, entity: str) -> DataFrame:
-    """Rows of one entity, with the entity as a bound value and not as query text."""
-    return df.where(F.col("entity_id") == F.lit(entity))
+    """Rows of one entity, in SQL with the frame as relation and the entity as bound value."""
+    return df.sparkSession.sql(
+        "select * from {panel} where entity_id = :entity", args={"entity": entity}, panel=df
+    )
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -66,6 +66,11 @@ def test_materialized_tables_are_counted_and_pruned(spark, skewed):
     assert "ReadSchema: struct<value:double>" in plan_of(stored.select("value"))
 
 
+def test_empty_frames_are_stored_too(spark, levels):
+    for nothing in (levels.where("false"), levels.where("level > 9"), spark.createDataFrame([], "a int")):
+        assert row_bound(materialize(nothing, "nothing")) == 0
+
+
 def test_shared_folder_is_the_one_the_cluster_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = scale.scratch_dir(spark)
