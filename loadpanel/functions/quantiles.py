@@ -1,8 +1,8 @@
 """Exact order statistics per group, for groups of any size.
 
 Spark's ``percentile`` is exact but keeps every distinct value of a group in one
-buffer. It is used while all groups are known to be small. Beyond that the
-wanted ranks are bracketed: each round counts rows in equal-width value bins
+buffer. It is used for groups known to be small. In a larger group the wanted
+ranks are bracketed: each round counts rows in equal-width value bins
 (combined map-side, so a round ships bins and not rows) and keeps the bin that
 holds the rank, until a bracket is small enough to be counted value by value.
 """
@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from loadpanel.scale import groups_within, lookup_join, materialize
+from loadpanel.scale import groups_within, is_small, lookup_join, materialize
 
 GROUP_ROWS = 500_000
 BINS = 8192
@@ -38,27 +38,42 @@ def exact_quantiles(
     keys = list(keys)
     base = df.select(*keys, F.col(value).cast("double").alias(_V))
     if groups_within(base, keys, group_rows, total):
-        wanted = F.percentile(_V, [float(p) for p in probs.values()])
-        return base.groupBy(*keys).agg(wanted.alias("q")).select(
-            *keys, *[F.col("q")[i].alias(name) for i, name in enumerate(probs)]
-        )
-    return _bracketed(base, keys, probs, group_rows, bins)
+        return _buffered(base, keys, probs)
+    sizes = base.groupBy(*keys).agg(
+        F.count(_V).alias("n"), F.min(_V).alias("lo"), F.max(_V).alias("hi")
+    )
+    # Each has more than group_rows rows, so there cannot be many of them.
+    large = materialize(sizes.where(F.col("n") > group_rows), "large-groups")
+    rest = base.join(_side(large.select(*keys), is_small(large)), keys, "left_anti")
+    return _buffered(rest, keys, probs).unionByName(_bracketed(base, large, keys, probs, group_rows, bins))
+
+
+def _side(table: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(table) if small else table
+
+
+def _buffered(base: DataFrame, keys: list[str], probs: Mapping[str, float]) -> DataFrame:
+    wanted = F.percentile(_V, [float(p) for p in probs.values()])
+    return base.groupBy(*keys).agg(wanted.alias("q")).select(
+        *keys, *[F.col("q")[i].alias(name) for i, name in enumerate(probs)]
+    )
 
 
 def _bracketed(
-    base: DataFrame, keys: list[str], probs: Mapping[str, float], group_rows: int, bins: int
+    base: DataFrame,
+    groups: DataFrame,
+    keys: list[str],
+    probs: Mapping[str, float],
+    group_rows: int,
+    bins: int,
 ) -> DataFrame:
-    groups = materialize(
-        base.groupBy(*keys).agg(F.count(_V).alias("n"), F.min(_V).alias("lo"), F.max(_V).alias("hi")),
-        "quantile-groups",
-    )
     values = base.where(F.col(_V).isNotNull())
     ranks = F.array_distinct(
         F.flatten(F.array(*[F.array(_below(p), _above(p)) for p in probs.values()]))
     )
     # One row per wanted rank: the bracket [lo, hi], the rows of the group below
     # it, and the rows inside it.
-    state = groups.where("n > 0").select(
+    state = groups.select(
         *keys,
         F.explode(ranks).alias("rank"),
         "lo",
@@ -77,7 +92,7 @@ def _bracketed(
         .groupBy(*keys)
         .agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
     )
-    return groups.join(by_rank, keys, "left").select(
+    return groups.join(by_rank, keys).select(
         *keys, *[_interpolate(p).alias(name) for name, p in probs.items()]
     )
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loadpanel.models.base import ResidualQuantiles
@@ -34,10 +36,12 @@ class BoostedTreesForecaster(ResidualQuantiles):
         min_rows: int = 50,
         seed: int = 0,
         pooled: bool = False,
+        parallelism: int = 4,
         name: str = "boosted_trees",
     ) -> None:
         self.n_trees, self.learning_rate, self.depth = n_trees, learning_rate, depth
-        self.min_rows, self.seed, self.pooled, self.name = min_rows, seed, pooled, name
+        self.min_rows, self.seed, self.pooled = min_rows, seed, pooled
+        self.parallelism, self.name = parallelism, name
 
     def _assemble(self, rows: DataFrame) -> DataFrame:
         return VectorAssembler(inputCols=self.features, outputCol="_x").transform(rows)
@@ -70,12 +74,17 @@ class BoostedTreesForecaster(ResidualQuantiles):
             ]
         else:
             raise ValueError(f"more than {MAX_ENSEMBLES} entities: fit them with pooled=True")
-        self.models = {
-            (entity, k): learner.fit(
+
+        def one(key: tuple[str | None, int]) -> GBTRegressionModel:
+            entity, k = key
+            return learner.fit(
                 self._assemble(train.where(_of(entity) & (F.col("first_train_fold") <= k)))
             )
-            for entity, k in sorted(fits, key=lambda f: (str(f[0]), f[1]))
-        }
+
+        # The fits are separate jobs; several at a time keep a cluster busy.
+        with ThreadPool(self.parallelism) as pool:
+            models = pool.map(inheritable_thread_target(rows.sparkSession)(one), fits)
+        self.models = dict(zip(fits, models))
         return self
 
     def predict(self, rows: DataFrame) -> DataFrame:
