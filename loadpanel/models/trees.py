@@ -16,7 +16,7 @@ from loadpanel.operators.folds import FoldPlan
 from loadpanel.scale import is_small, materialize
 
 # Most entities that get an ensemble of their own.
-MAX_ENSEMBLES = 1_000
+MAX_ENSEMBLES = 200
 
 
 class BoostedTreesForecaster(ResidualQuantiles):
@@ -53,8 +53,7 @@ class BoostedTreesForecaster(ResidualQuantiles):
         self.features = list(features)
         train = rows.where("first_train_fold is not null")
         if not self.pooled:
-            # Every fit reads one entity: files of consecutive rows let it skip the rest.
-            train = materialize(train.repartitionByRange("entity_id", "ts_utc"), "tree-rows")
+            train = _clustered(train, "tree-rows")
         learner = GBTRegressor(
             featuresCol="_x",
             labelCol=target,
@@ -90,6 +89,8 @@ class BoostedTreesForecaster(ResidualQuantiles):
     def predict(self, rows: DataFrame) -> DataFrame:
         if not self.models:
             return rows.withColumn("prediction", F.lit(0.0)).where(F.lit(False))
+        if not self.pooled:
+            rows = _clustered(rows, "tree-inputs")
         parts = [
             model.transform(self._assemble(rows.where(_of(entity) & (F.col("fold") == k)))).drop("_x")
             for (entity, k), model in self.models.items()
@@ -97,5 +98,11 @@ class BoostedTreesForecaster(ResidualQuantiles):
         return reduce(DataFrame.unionByName, parts)
 
 
+def _clustered(rows: DataFrame, label: str) -> DataFrame:
+    """Rows stored in key order: a scan for one entity and fold skips the other files."""
+    order = ("entity_id", "ts_utc")
+    return materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order), label)
+
+
 def _of(entity: str | None) -> Column:
     return F.lit(True) if entity is None else F.col("entity_id") == entity
