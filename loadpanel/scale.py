@@ -99,9 +99,10 @@ def lookup_join(
     on = list(on)
     if is_small(table, max_rows) if small is None else small:
         return fact.join(F.broadcast(table), on)
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return salted.join(copies, [*on, "_salt"]).drop("_salt")
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS).cast("long"))
+    every_salt = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    copies = table.withColumn("_salt", F.explode(every_salt))
+    return fact.withColumn("_salt", salt).join(copies, [*on, "_salt"]).drop("_salt")
 
 
 def key_filter(fact: DataFrame, keys: DataFrame, on: Sequence[str], max_rows: int | None = None) -> DataFrame:
