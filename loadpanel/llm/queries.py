@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadpanel.llm import exact_dedup
+from loadpanel.llm import exact_dedup, mixing
 from loadpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,10 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal texts by composable fingerprints; the largest doc_id stays."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of documents that bring each source near its target number of words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("row.doc_id", "size", "source_size", "target", "taken", "copies", "rate")
