@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadpanel.llm import exact_dedup, mixing
+from loadpanel.llm import exact_dedup, mixing, quality
 from loadpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of documents that bring each source near its target number of words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("row.doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
+@query()
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the labels that are not held out."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
