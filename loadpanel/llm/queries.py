@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadpanel.llm import exact_dedup, mixing, quality
+from loadpanel.llm import bpe, exact_dedup, mixing, quality
 from loadpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt from the labels that are not held out."""
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and the decoded text of every whole text."""
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode_decode(docs, tokenizer_path(), ("n_tokens", "ids_sha256", "decoded_sha256"))
