@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadpanel.llm import bpe, exact_dedup, mixing, quality
+from loadpanel.llm import bpe, exact_dedup, mixing, quality, warc
 from loadpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,24 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and the decoded text of every whole text."""
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, tokenizer_path(), ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+# RFC 4648 alphabet: every five hexadecimal digits are four letters.
+_BASE32 = """list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (('0x' || substr(digest, 1 + (i // 4) * 5, 5))::BIGINT >> (15 - 5 * (i % 4)))::INT % 32, 1)), 'string_agg', '')"""
+
+
+@query(
+    f"""
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS digest,
+                      min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first, url
+               FROM pages)
+    SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to, url
+    FROM p
+    """
+)
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through monolithic archives, their normalised form, and back."""
+    return warc.roundtrip(table(spark, sf_dir, "pages"))
