@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loadpanel.llm import bpe, exact_dedup, mixing, quality, warc
+from loadpanel.llm import bpe, exact_dedup, line_templates, mixing, quality, secrets, warc
 from loadpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,52 @@ _BASE32 = """list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGH
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through monolithic archives, their normalised form, and back."""
     return warc.roundtrip(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate secret of every text with the forest's score; values as digests."""
+    found = secrets.scan(table(spark, sf_dir, "documents"), F.col("source"))
+    return found.select(
+        "doc_id",
+        "no",
+        "path",
+        F.length("value").alias("value_length"),
+        F.sha2("value", 256).alias("value_sha256"),
+        F.round("score", 6).alias("score"),
+        "is_secret",
+    )
+
+
+_TOKENS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS no FROM d),
+    t AS (SELECT doc_id, no, line, {_TOKENS.format("line")} AS tokens FROM l),
+    r AS (SELECT *, len(tokens)::VARCHAR || ' ' || array_to_string(list_transform(tokens[1:{line_templates.DEPTH}],
+              lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END), ' ') AS leaf
+          FROM t WHERE len(tokens) > 0),
+    f AS (SELECT leaf FROM r GROUP BY leaf HAVING count(DISTINCT doc_id) >= {line_templates.MIN_DOCS}),
+    c AS (SELECT r.* FROM r JOIN f USING (leaf)),
+    u AS (SELECT leaf, line, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS n FROM c GROUP BY leaf, line),
+    p AS (SELECT leaf, line, n, unnest(tokens) AS token, unnest(range(len(tokens))) AS place FROM u),
+    k AS (SELECT leaf, place, token FROM p GROUP BY ALL HAVING sum(n) >= {line_templates.MIN_DOCS}),
+    m AS (SELECT p.leaf, p.line, string_agg(coalesce(k.token, '<*>'), ' ' ORDER BY p.place) AS template
+          FROM p LEFT JOIN k ON p.leaf = k.leaf AND p.place = k.place AND p.token = k.token
+          GROUP BY p.leaf, p.line HAVING avg((k.token IS NOT NULL)::INT) >= {line_templates.MIN_CONSTANT}),
+    x AS (SELECT leaf, template FROM c JOIN m USING (leaf, line) GROUP BY ALL
+          HAVING count(DISTINCT doc_id) >= {line_templates.MIN_DOCS}),
+    g AS (SELECT doc_id, no FROM c JOIN m USING (leaf, line) JOIN x USING (leaf, template)),
+    s AS (SELECT doc_id, list(no) AS gone FROM g GROUP BY doc_id)
+    SELECT doc_id, len(lines) AS n_lines, coalesce(len(gone), 0) AS n_dropped,
+           sha256(coalesce(array_to_string(list_filter(lines, lambda y, i: NOT list_contains(coalesce(gone, []), i - 1)), chr(10)), '')) AS kept_sha256
+    FROM d LEFT JOIN s USING (doc_id)
+    """
+)
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of templates that recur across documents."""
+    left = line_templates.drop_templates(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
