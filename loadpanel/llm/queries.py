@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loadpanel.llm import bpe, exact_dedup, line_templates, mixing, quality, secrets, warc
+from loadpanel.llm import bpe, exact_dedup, line_templates, mixing, ngram_join, quality, secrets, warc
 from loadpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +145,24 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of templates that recur across documents."""
     left = line_templates.drop_templates(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(
+    f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {_TOKENS.format(_LOWER)} AS words FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+              WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+              ELSE list_transform(range(len(words) - 3), lambda i: array_to_string(words[i + 1:i + 4], ' ')) END) AS shingle
+          FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    i AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+          GROUP BY ALL),
+    e AS (SELECT u, v FROM i JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 85 * (x.n + y.n - c)),
+    r AS (SELECT doc_id AS start, doc_id AS node FROM w UNION SELECT start, v FROM r JOIN e ON node = u)
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+    FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT start AS doc_id, min(node) AS component_id FROM r GROUP BY start) c USING (doc_id)
+    """
+)
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by similar sets of four-word shingles."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
