@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loadpanel.llm import bpe, exact_dedup, line_templates, mixing, ngram_join, quality, secrets, warc
+from loadpanel.llm import bpe, exact_dedup, line_templates, mixing, neighbours, ngram_join, quality, secrets, warc
 from loadpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,3 +166,9 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by similar sets of four-word shingles."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+@query()
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
