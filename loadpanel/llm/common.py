@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from loadpanel.scale import is_small, scratch_dir
+from loadpanel.scale import scratch_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizer's file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
     base = scratch_dir(spark).rstrip("/")
@@ -48,8 +55,3 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20)
             held += n
         if start < len(sizes):
             yield batch.slice(start)
-
-
-def semi_join(fact: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``fact`` listed in ``keys``; the list is broadcast only if its counted rows allow it."""
-    return fact.join(F.broadcast(keys) if is_small(keys) else keys, on, "left_semi")

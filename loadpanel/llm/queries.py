@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loadpanel.llm import bpe, exact_dedup, line_templates, mixing, neighbours, ngram_join, quality, secrets, warc
-from loadpanel.llm.common import table
+from loadpanel.llm import bpe, exact_dedup, line_templates, mixing, neighbours, ngram_join, quality, secrets, suffix_dedup, warc
+from loadpanel.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -64,12 +64,6 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query()
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and the decoded text of every whole text."""
@@ -172,3 +166,9 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that a document with a smaller id has."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
