@@ -36,14 +36,14 @@ MILLION = 1_000_000
 
 
 def millionths(value: Column | str) -> Column:
-    """A double as a whole number of millionths; raises beyond the range of a long."""
+    """A double as a whole number of millionths, with room for values up to 1e21."""
     value = F.col(value) if isinstance(value, str) else value
-    return F.rint(value * MILLION).cast("long")
+    return F.rint(value * MILLION).cast("decimal(27,0)")
 
 
 def wide_sum(whole: Column) -> Column:
     """Sum of whole numbers with room for any number of rows."""
-    return F.sum(whole.cast("decimal(19,0)"))
+    return F.sum(whole.cast("decimal(27,0)"))
 
 
 def fixed_sum(value: Column | str) -> Column:

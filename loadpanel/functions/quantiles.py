@@ -19,6 +19,7 @@ GROUP_ROWS = 500_000
 BINS = 8192
 
 _V = "_value"
+INFINITY = float("inf")
 
 
 def exact_quantiles(
@@ -32,15 +33,24 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with the interpolated quantiles in ``probs`` (name -> p).
 
-    NULLs do not count; a group with only NULLs gets NULL quantiles. ``total``
-    is an upper bound of the rows of ``df``, if known, and may save a count.
+    NULL and NaN do not count; a group with nothing else gets NULL quantiles.
+    Infinite values rank at the ends. ``total`` is an upper bound of the rows of
+    ``df``, if known, and may save a count.
     """
     keys = list(keys)
-    base = df.select(*keys, F.col(value).cast("double").alias(_V))
+    number = F.col(value).cast("double")
+    base = df.select(*keys, F.when(~F.isnan(number), number).alias(_V))
     if groups_within(base, keys, group_rows, total):
         return _buffered(base, keys, probs)
+    # Every round below reads the values again.
+    base = materialize(base, "quantile-values")
+    finite = F.when(_finite(), F.col(_V))
     sizes = base.groupBy(*keys).agg(
-        F.count(_V).alias("n"), F.min(_V).alias("lo"), F.max(_V).alias("hi")
+        F.count(_V).alias("n"),
+        F.min(finite).alias("lo"),
+        F.max(finite).alias("hi"),
+        F.count_if(F.col(_V) == -INFINITY).alias("n_low"),
+        F.count_if(F.col(_V) == INFINITY).alias("n_high"),
     )
     # Each has more than group_rows rows, so there cannot be many of them.
     large = materialize(sizes.where(F.col("n") > group_rows), "large-groups")
@@ -48,6 +58,10 @@ def exact_quantiles(
     return _buffered(rest, keys, probs).unionByName(_bracketed(base, large, keys, probs, group_rows, bins))
 
 
+def _finite() -> Column:
+    return (F.col(_V) > -INFINITY) & (F.col(_V) < INFINITY)
+
+
 def _side(table: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(table) if small else table
 
@@ -67,19 +81,23 @@ def _bracketed(
     group_rows: int,
     bins: int,
 ) -> DataFrame:
-    values = base.where(F.col(_V).isNotNull())
+    values = base.where(_finite())
     ranks = F.array_distinct(
         F.flatten(F.array(*[F.array(_below(p), _above(p)) for p in probs.values()]))
     )
     # One row per wanted rank: the bracket [lo, hi], the rows of the group below
     # it, and the rows inside it.
-    state = groups.select(
+    ranked = groups.select("*", F.explode(ranks).alias("rank"))
+    low, high = F.col("rank") < F.col("n_low"), F.col("rank") >= F.col("n") - F.col("n_high")
+    # Infinite values stand at the ends; a rank among them is settled at once.
+    end = F.when(low, -INFINITY).when(high, INFINITY)
+    state = ranked.select(
         *keys,
-        F.explode(ranks).alias("rank"),
-        "lo",
-        "hi",
-        F.lit(0).cast("long").alias("below"),
-        F.col("n").alias("inside"),
+        "rank",
+        F.coalesce(end, "lo").alias("lo"),
+        F.coalesce(end, "hi").alias("hi"),
+        F.col("n_low").alias("below"),
+        (F.col("n") - F.col("n_low") - F.col("n_high")).alias("inside"),
     )
     wide = (F.col("inside") > group_rows) & (F.col("lo") < F.col("hi"))
     while state.where(wide).limit(1).count():
@@ -111,7 +129,7 @@ def _above(p: float) -> Column:
 
 def _interpolate(p: float) -> Column:
     pos, lo, hi = _position(p), F.col("at")[_below(p)], F.col("at")[_above(p)]
-    return F.when(_below(p) == _above(p), lo).otherwise(
+    return F.when((_below(p) == _above(p)) | (lo == hi), lo).otherwise(
         (_above(p) - pos) * lo + (pos - _below(p)) * hi
     )
 
@@ -134,10 +152,14 @@ def _pick(state: DataFrame, counted: DataFrame, bracket: list[str], order: str)
 def _narrow(values: DataFrame, state: DataFrame, keys: list[str], bins: int) -> DataFrame:
     bracket = [*keys, "lo", "hi"]
     # Halved before subtracting, so that the width of the widest bracket is finite.
-    share = (F.col(_V) / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+    share = F.try_divide(F.col(_V) / 2 - F.col("lo") / 2, F.col("hi") / 2 - F.col("lo") / 2)
+    # Neighbouring tiny numbers have no width when halved. In any case the least and
+    # the largest value fall into different bins, so that every round shrinks.
+    place = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("long")
+    ends = F.when(F.col(_V) >= F.col("hi"), bins - 1).when(F.col(_V) <= F.col("lo"), 0)
     counted = (
         _inside(values, state.select(*bracket).distinct(), keys)
-        .withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)))
+        .withColumn("bin", F.coalesce(ends.cast("long"), place, F.lit(0).cast("long")))
         .groupBy(*bracket, "bin")
         .agg(F.count("*").alias("rows"), F.min(_V).alias("bin_lo"), F.max(_V).alias("bin_hi"))
     )

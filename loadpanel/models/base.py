@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loadpanel.functions.quantiles import exact_quantiles
 from loadpanel.operators.folds import FoldPlan, trained_folds
-from loadpanel.scale import lookup_join, materialize
+from loadpanel.scale import lookup_join, materialize, row_bound
 
 GROUP = ["entity_id", "fold"]
 
@@ -50,13 +50,18 @@ class ResidualQuantiles:
             "fold", F.explode(trained_folds(self._plan))
         )
 
+    def training_residuals(self) -> DataFrame:
+        """entity_id, fold and residual of every training row in every fold that trains on it."""
+        residual = F.col(self._target) - F.col("prediction")
+        return self.predict(self.training_rows()).select(*GROUP, residual.alias("residual"))
+
     def predict_quantiles(self, rows: DataFrame, quantiles: Sequence[float]) -> DataFrame:
         """Append ``prediction`` and the array ``quantiles`` in the order asked for."""
-        residuals = self.predict(self.training_rows()).select(
-            *GROUP, (F.col(self._target) - F.col("prediction")).alias("residual")
-        )
+        # Read for the group sizes and in each round: three narrow columns, stored once.
+        residuals = materialize(self.training_residuals(), "residuals")
         names = {f"_r{i}": float(q) for i, q in enumerate(quantiles)}
-        shifts = materialize(exact_quantiles(residuals, GROUP, "residual", names), "residual-quantiles")
+        found = exact_quantiles(residuals, GROUP, "residual", names, total=row_bound(residuals))
+        shifts = materialize(found, "residual-quantiles")
         spread = F.array(*[F.col("prediction") + F.col(name) for name in names])
         return (
             lookup_join(self.predict(rows), shifts, GROUP, spread="ts_utc")

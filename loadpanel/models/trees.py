@@ -9,23 +9,23 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from loadpanel.models.base import ResidualQuantiles
+from loadpanel.models.base import GROUP, ResidualQuantiles
+from loadpanel.models.mean import MeanForecaster
 from loadpanel.operators.folds import FoldPlan
-from loadpanel.scale import is_small, materialize
+from loadpanel.scale import lookup_join
 
-# Most entities that get an ensemble of their own.
-MAX_ENSEMBLES = 200
+LEVEL = "_level"
 
 
 class BoostedTreesForecaster(ResidualQuantiles):
-    """One boosted ensemble per (entity, fold), or per fold with ``pooled``.
+    """One boosted ensemble per fold, over all entities.
 
-    Each fit is a distributed job over its training rows. Separate ensembles
-    suit the few, long histories of a regional panel; a panel with thousands of
-    entities is pooled, which takes ``n_folds`` fits in all. ``fit`` reads the
-    rows many times, so pass a stored table, as the backtest does.
+    What tells entities apart is the mean of their training rows in that fold, an
+    input beside the others; so there are ``n_folds`` fits at any number of
+    entities, each a distributed job over its training rows. ``fit`` reads the rows
+    many times, so pass a stored table, as the backtest does.
     """
 
     def __init__(
@@ -35,25 +35,28 @@ class BoostedTreesForecaster(ResidualQuantiles):
         depth: int = 6,
         min_rows: int = 50,
         seed: int = 0,
-        pooled: bool = False,
         parallelism: int = 4,
         name: str = "boosted_trees",
     ) -> None:
         self.n_trees, self.learning_rate, self.depth = n_trees, learning_rate, depth
-        self.min_rows, self.seed, self.pooled = min_rows, seed, pooled
+        self.min_rows, self.seed = min_rows, seed
         self.parallelism, self.name = parallelism, name
 
-    def _assemble(self, rows: DataFrame) -> DataFrame:
-        return VectorAssembler(inputCols=self.features, outputCol="_x").transform(rows)
+    def _inputs(self, rows: DataFrame, fold: int) -> DataFrame:
+        """Rows of entities that train in the fold, with their inputs as one vector."""
+        levels = self.levels.where(F.col("fold") == fold).select("entity_id", F.col("mean").alias(LEVEL))
+        levelled = lookup_join(rows, levels, ["entity_id"], spread="ts_utc")
+        return VectorAssembler(inputCols=[*self.features, LEVEL], outputCol="_x").transform(levelled)
+
+    def _trained_on(self, rows: DataFrame, fold: int) -> DataFrame:
+        return rows.where(F.col("first_train_fold") <= fold)
 
     def fit(
         self, rows: DataFrame, features: Sequence[str], target: str, plan: FoldPlan
     ) -> BoostedTreesForecaster:
         self._remember(rows, target, plan)
         self.features = list(features)
-        train = rows.where("first_train_fold is not null")
-        if not self.pooled:
-            train = _clustered(train, "tree-rows")
+        self.levels = MeanForecaster().fit(rows, features, target, plan).means
         learner = GBTRegressor(
             featuresCol="_x",
             labelCol=target,
@@ -63,46 +66,34 @@ class BoostedTreesForecaster(ResidualQuantiles):
             minInstancesPerNode=self.min_rows,
             seed=self.seed,
         )
-        starts = train.groupBy("entity_id").agg(F.min("first_train_fold").alias("first"))
-        if self.pooled:
-            first = starts.agg(F.min("first")).first()[0]
-            fits = [] if first is None else [(None, k) for k in range(first, plan.n_folds)]
-        elif is_small(starts, MAX_ENSEMBLES):
-            fits = [
-                (r["entity_id"], k) for r in starts.collect() for k in range(r["first"], plan.n_folds)
-            ]
-        else:
-            raise ValueError(f"more than {MAX_ENSEMBLES} entities: fit them with pooled=True")
-
-        def one(key: tuple[str | None, int]) -> GBTRegressionModel:
-            entity, k = key
-            return learner.fit(
-                self._assemble(train.where(_of(entity) & (F.col("first_train_fold") <= k)))
-            )
+        first = rows.agg(F.min("first_train_fold")).first()[0]
+        folds = [] if first is None else range(first, plan.n_folds)
+
+        def one(fold: int) -> GBTRegressionModel:
+            return learner.fit(self._inputs(self._trained_on(rows, fold), fold))
 
         # The fits are separate jobs; several at a time keep a cluster busy.
         with ThreadPool(self.parallelism) as pool:
-            models = pool.map(inheritable_thread_target(rows.sparkSession)(one), fits)
-        self.models = dict(zip(fits, models))
+            models = pool.map(inheritable_thread_target(rows.sparkSession)(one), folds)
+        self.models = dict(zip(folds, models))
         return self
 
-    def predict(self, rows: DataFrame) -> DataFrame:
-        if not self.models:
-            return rows.withColumn("prediction", F.lit(0.0)).where(F.lit(False))
-        if not self.pooled:
-            rows = _clustered(rows, "tree-inputs")
+    def _predicted(self, rows_of) -> DataFrame:
+        """``rows_of(fold)`` with the fold's predictions, for all folds."""
         parts = [
-            model.transform(self._assemble(rows.where(_of(entity) & (F.col("fold") == k)))).drop("_x")
-            for (entity, k), model in self.models.items()
+            model.transform(self._inputs(rows_of(fold), fold)).drop("_x", LEVEL)
+            for fold, model in self.models.items()
         ]
         return reduce(DataFrame.unionByName, parts)
 
+    def predict(self, rows: DataFrame) -> DataFrame:
+        if not self.models:
+            return rows.withColumn("prediction", F.lit(0.0)).where(F.lit(False))
+        return self._predicted(lambda fold: rows.where(F.col("fold") == fold))
 
-def _clustered(rows: DataFrame, label: str) -> DataFrame:
-    """Rows stored in key order: a scan for one entity and fold skips the other files."""
-    order = ("entity_id", "ts_utc")
-    return materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order), label)
-
-
-def _of(entity: str | None) -> Column:
-    return F.lit(True) if entity is None else F.col("entity_id") == entity
+    def training_residuals(self) -> DataFrame:
+        """Each fold reads the stored rows it trains on; no copy of the inputs is made."""
+        if not self.models:
+            return super().training_residuals()
+        trained = self._predicted(lambda fold: self._trained_on(self._train, fold).withColumn("fold", F.lit(fold).cast("long")))
+        return trained.select(*GROUP, (F.col(self._target) - F.col("prediction")).alias("residual"))

@@ -14,14 +14,15 @@ from loadpanel.schema import COVARIATE_COLUMNS, KEYS
 
 BALANCE_POINT_C = 18.0
 
-# Rows of a zone table up to which each zone is compiled into the plan.
+# Zones up to which each is compiled into the plan; the result is the same beyond.
 MAX_ZONES = 64
 
 
 def local_calendar(df: DataFrame, tz: DataFrame, ts: str = "ts_utc") -> DataFrame:
     """Append the local calendar columns; ``tz`` maps entity_id to tzname.
 
-    Rows of entities without a zone are dropped (inner join).
+    Rows of entities that ``tz`` does not list are dropped (inner join); where it
+    lists a null zone, the calendar is null.
     """
     zoned = lookup_join(df, tz, ["entity_id"], spread=ts)
     return (
@@ -32,9 +33,9 @@ def local_calendar(df: DataFrame, tz: DataFrame, ts: str = "ts_utc") -> DataFram
 
 
 def _zones(tz: DataFrame) -> list[str]:
-    """The zones of a lookup table with few rows, none for a larger one."""
-    names = tz.select("tzname").limit(MAX_ZONES + 1).collect()
-    return sorted({r["tzname"] for r in names}) if len(names) <= MAX_ZONES else []
+    """The zones of a lookup table that names few, none otherwise; a null zone is no name."""
+    names = tz.select("tzname").where("tzname is not null").distinct().limit(MAX_ZONES + 1).collect()
+    return sorted(r["tzname"] for r in names) if len(names) <= MAX_ZONES else []
 
 
 def degree_days(

@@ -103,7 +103,7 @@ def add_lags(
 
 
 def _fixed_sum_over(value: str, frame: WindowSpec) -> Column:
-    return F.sum(millionths(value)).over(frame) / MILLION
+    return F.sum(millionths(value)).over(frame).cast("double") / MILLION
 
 
 def _rows(ordered: WindowSpec, value: str, n: int) -> Column:

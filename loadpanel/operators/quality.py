@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from loadpanel.functions.columns import DAY_US, micros
 from loadpanel.functions.quantiles import exact_quantiles
@@ -98,8 +98,9 @@ def missing_hours(obs: DataFrame, have: str, lack: str) -> DataFrame:
 
 
 def first_missing_hours(obs: DataFrame, have: str, lack: str, n: int = 20) -> DataFrame:
-    """The ``n`` earliest missing hours over all entities, in full key order."""
-    return missing_hours(obs, have, lack).orderBy("ts_utc", "entity_id").limit(n)
+    """The ``n`` earliest missing hours of each entity; all but n go before the shuffle."""
+    number = F.row_number().over(W.partitionBy("entity_id").orderBy("ts_utc"))
+    return missing_hours(obs, have, lack).withColumn("_n", number).where(F.col("_n") <= n).drop("_n")
 
 
 def value_distribution(

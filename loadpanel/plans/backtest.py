@@ -155,9 +155,9 @@ def skill(predictions: DataFrame, pairs: DataFrame, target: str = TARGET) -> Dat
     )
 
 
-def ladder_with_baseline(scored: DataFrame) -> DataFrame:
-    """``skill`` rows averaged over folds per entity."""
-    return scored.groupBy("entity_id").agg(
+def ladder_with_baseline(scored: DataFrame, by: Sequence[str] = ("entity_id",)) -> DataFrame:
+    """``skill`` rows averaged over folds per entity (and model, where ``by`` names it)."""
+    return scored.groupBy(*by).agg(
         F.count("*").alias("n_folds"),
         (F.sum("n_both") / F.sum("n_test")).alias("coverage"),
         F.avg("mape_model").alias("mape_model"),

@@ -31,7 +31,7 @@ WX = """wx as (
          cast(sum(cast(round(l_tax * 100) as int)) as double) / count(*) as wind_speed_10m,
          100.0 * cast(count(*) filter (where l_linestatus = 'O') as double) / count(*) as cloud_cover,
          max(l_extendedprice) / 100 as shortwave_radiation
-  from lineitem where extract(day from l_shipdate) <> 1 group by all)"""
+  from lineitem group by all)"""
 
 FEATURE_NAMES = (
     "temperature_2m",
@@ -230,18 +230,53 @@ D_FEATURES = (OBS_D, WX, TZ, MED, DEMAND, FEATURES)
 D_LAGGED = (*D_FEATURES, LAGGED)
 D_PAIRS = (OBS_D, MED, GOOD, PAIRS)
 MEAN_BACKTEST = (*D_LAGGED, folds("lagged"), splits(MODEL_INPUTS), MEAN_MODEL)
+def _skill_of(model: str, predictions: str) -> str:
+    return f"""select '{model}' as model, entity_id, fold, count(*) as n_test, count(forecast) as n_both,
+         avg(abs(demand_mw - prediction) / demand_mw) filter (where forecast is not null) * 100 as mape_model,
+         avg(abs(demand_mw - forecast) / demand_mw) * 100 as mape_base
+  from {predictions} left join close_pairs using (entity_id, ts_utc) group by all"""
+
+
 SKILL = (
     *MEAN_BACKTEST,
+    ridge_n(MODEL_INPUTS),
     GOOD,
     PAIRS,
     CLOSE_PAIRS,
-    """scored as (
-  select entity_id, fold, count(*) as n_test, count(forecast) as n_both,
-         avg(abs(demand_mw - prediction) / demand_mw) filter (where forecast is not null) * 100 as mape_model,
-         avg(abs(demand_mw - forecast) / demand_mw) * 100 as mape_base
-  from mean_pred left join close_pairs using (entity_id, ts_utc) group by all)""",
+    f"scored as (\n  {_skill_of('mean', 'mean_pred')}\n  union all\n  {_skill_of('ridge', 'ridge_pred')})",
 )
 
+# The cut of least squared error over all inputs of a fold, entities pooled; a level is an entity's training mean.
+STUMP_MODEL = """levelled as (
+  select train.fold, demand_mw as y, cast(is_weekend as double) as w, cast(month_local as double) as m, mean as l
+  from train join mean_fit using (entity_id, fold)),
+inputs as (
+  select fold, 'w' as input, w as v, y from levelled union all
+  select fold, 'm', m, y from levelled union all select fold, 'l', l, y from levelled),
+steps as (select fold, input, v, count(*) as n, sum(y) as s from inputs group by all),
+cuts as (
+  select *, sum(n) over up as n_left, sum(s) over up as s_left, lead(v) over (partition by fold, input order by v) as next_v,
+         sum(n) over (partition by fold, input) as n_all, sum(s) over (partition by fold, input) as s_all
+  from steps window up as (partition by fold, input order by v)),
+best as (
+  select fold, input, (v + next_v) / 2 as cut, s_left / n_left as below, (s_all - s_left) / (n_all - n_left) as above
+  from cuts where next_v is not null
+  qualify row_number() over (partition by fold order by s_left * s_left / n_left
+                             + (s_all - s_left) * (s_all - s_left) / (n_all - n_left) desc) = 1),
+stump_pred as (
+  select test.*, case when (case input when 'w' then is_weekend when 'm' then month_local else mean end) <= cut
+                      then below else above end as prediction
+  from test join mean_fit using (entity_id, fold) join best using (fold))"""
+
+ASSIGNED = """select entity_id, ts_utc,
+       (select max(fold) from folds f where f.entity_id = x.entity_id
+         and x.ts_utc > f.test_start and x.ts_utc <= f.test_end) as test_fold,
+       (select min(fold) from folds f where f.entity_id = x.entity_id
+         and x.ts_utc <= f.train_end) as first_train_fold
+from {} x"""
+
+HOURLY_FOLDS = dict(n=8, days=2, gap=39, least=7)
+
 PRESENT = """present as (
   select entity_id, ts_utc, count(*) filter (where series_type = 'D') as d,
          count(*) filter (where series_type = 'DF') as f
@@ -365,7 +400,9 @@ from present group by entity_id""",
         "missing_forecast_hours": sql(OBS_H, _missing("D", "DF")),
         "missing_actual_hours": sql(OBS_H, _missing("DF", "D")),
         "first_missing_hours": sql(
-            OBS_H, f"select * from ({_missing('D', 'DF')}) order by ts_utc, entity_id limit 20"
+            OBS_H,
+            f"""select * from ({_missing('D', 'DF')})
+qualify row_number() over (partition by entity_id order by ts_utc) <= 20""",
         ),
         "value_distribution": sql(
             OBS_D,
@@ -526,12 +563,29 @@ where {_complete(MODEL_INPUTS)}""",
         "fold_assignment": sql(
             *D_FEATURES,
             folds("features"),
-            """select entity_id, ts_utc,
-       (select max(fold) from folds f where f.entity_id = x.entity_id
-         and x.ts_utc > f.test_start and x.ts_utc <= f.test_end) as test_fold,
-       (select min(fold) from folds f where f.entity_id = x.entity_id
-         and x.ts_utc <= f.train_end) as first_train_fold
-from features x""",
+            ASSIGNED.format("features"),
+        ),
+        "fold_assignment_hourly": sql(
+            OBS_H, MED, DEMAND, folds("demand", **HOURLY_FOLDS), ASSIGNED.format("demand")
+        ),
+        "backtest_mean_hourly": sql(
+            OBS_H,
+            MED,
+            DEMAND,
+            folds("demand", **HOURLY_FOLDS),
+            splits([]).replace("lagged l", "demand l"),
+            MEAN_MODEL,
+            scores("mean", "mean_pred"),
+            rounded("mean"),
+        ),
+        "backtest_stump": sql(
+            *D_LAGGED,
+            every,
+            splits(["is_weekend", "month_local"]),
+            MEAN_MODEL,
+            STUMP_MODEL,
+            scores("stump", "stump_pred"),
+            rounded("stump"),
         ),
         "fold_sizes": sql(
             *D_LAGGED,
@@ -596,15 +650,15 @@ from ridge_pred join shifts using (entity_id, fold) group by all""",
         ),
         "skill_vs_baseline": sql(
             *SKILL,
-            """select entity_id, fold, n_test, n_both, round(mape_model, 4) as mape_model,
+            """select model, entity_id, fold, n_test, n_both, round(mape_model, 4) as mape_model,
        round(mape_base, 4) as mape_base, round(n_both / n_test, 4) as coverage,
        round(1 - mape_model / mape_base, 4) as skill from scored""",
         ),
         "ladder_vs_baseline": sql(
             *SKILL,
-            """select entity_id, count(*) as n_folds, round(sum(n_both) / sum(n_test), 4) as coverage,
+            """select model, entity_id, count(*) as n_folds, round(sum(n_both) / sum(n_test), 4) as coverage,
        round(avg(mape_model), 4) as mape_model, round(avg(mape_base), 4) as mape_base
-from scored group by entity_id""",
+from scored group by all""",
         ),
         "quantile_forecast": sql(
             *D_LAGGED,

@@ -37,8 +37,9 @@ def store_features(
 ) -> DataFrame:
     """The feature table; a covariate that never joined is an error and not an empty model."""
     tz = regions(obs.sparkSession).select("entity_id", "tzname") if tz is None else tz
-    features = replace_table(build_features(obs, cov, tz), f"{root}/features")
-    return assert_no_empty_column(features, [c for c in features.columns if c not in KEYS])
+    features = build_features(obs, cov, tz)
+    columns = [c for c in features.columns if c not in KEYS]
+    return replace_table(features, f"{root}/features", check=lambda table: assert_no_empty_column(table, columns))
 
 
 def store_lagged(features: DataFrame, root: str, **options) -> DataFrame:

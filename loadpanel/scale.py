@@ -6,10 +6,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import lru_cache
 from weakref import WeakKeyDictionary
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # A table is broadcast only up to this many (narrow) rows.
@@ -21,35 +19,29 @@ SALTS = 64
 _ROWS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 
-@lru_cache(maxsize=None)
-def _local_scratch(app_id: str) -> str:
-    return tempfile.mkdtemp(prefix="loadpanel-")
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables, which all executors share: ``spark.checkpoint.dir``.
 
-
-def scratch_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names, or a temporary one in local mode."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    In local mode, where driver and executors are one process, a temporary folder
+    is named there if nothing is. On a cluster that names none this raises.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return sc.getCheckpointDir()
-    return _local_scratch(sc.applicationId) if sc.master.startswith("local") else None
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="loadpanel-"))
+    return spark.conf.get("spark.checkpoint.dir")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Compute ``df`` once and continue from the stored result.
 
     Stored as Parquet in the shared folder: it outlives lost executors, later
-    scans read only the columns they use, and no lineage is carried along. On a
-    cluster that names no folder the frame is persisted instead, which Spark
-    rebuilds from lineage after a loss.
+    scans read only the columns they use, and no lineage is carried along.
     """
     spark = df.sparkSession
-    base = scratch_dir(spark)
-    if base is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     counted = Observation()
     df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from loadpanel.scale import local_table
 
@@ -107,11 +107,6 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def column_report(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
-    """For each wanted column, whether the frame has it."""
-    return {c: c in df.columns for c in columns}
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns in order and check their types."""
     require_columns(df, schema.fieldNames())
@@ -123,10 +118,3 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     if wrong:
         raise SchemaError(f"unexpected column types: {wrong}")
     return df.select(*schema.fieldNames())
-
-
-def null_out_nan(df: DataFrame, *columns: str) -> DataFrame:
-    """Turn NaN into NULL, since NaN sorts above every number in Spark."""
-    return df.withColumns(
-        {c: F.when(~F.isnan(c), F.col(c)) for c in columns}
-    )

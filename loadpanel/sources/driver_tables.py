@@ -64,12 +64,11 @@ def hourly_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide covariates on the daily grid, without the first day of each month."""
+    """Wide covariates on the daily grid."""
     rows = F.count("*")
     open_lines = F.sum(F.when(F.col("l_linestatus") == "O", 1).otherwise(0))
     return (
         load(pin_utc(spark), sf_dir, "lineitem")
-        .where(F.dayofmonth("l_shipdate") != 1)
         .groupBy(F.col("l_returnflag").alias("entity_id"), F.col("l_shipdate").alias("ts_utc"))
         .agg(
             F.when(rows > 1, F.avg("l_quantity") - 7.5).alias("temperature_2m"),

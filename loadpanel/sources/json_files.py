@@ -12,9 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from loadpanel.operators.reshape import melt
-from loadpanel.schema import COVARIATE_COLUMNS, COVARIATE_KEYS, KEYS
-
 # Record members, time formats and the file name of each shape.
 ROW_SCHEMA = "period string, respondent string, type string, value string"
 ROW_TIME = "yyyy-MM-dd'T'HH"
@@ -52,7 +49,7 @@ def parse_rowwise(documents: DataFrame, body: str = "body") -> DataFrame:
 def read_columnar(
     spark: SparkSession,
     path: str,
-    features: Sequence[str] = tuple(COVARIATE_COLUMNS),
+    features: Sequence[str] | None = None,
     file_pattern: str = COLUMN_FILE,
 ) -> DataFrame:
     """All columnar files under the path as one long covariate table."""
@@ -65,29 +62,32 @@ def parse_columnar(
     documents: DataFrame,
     body: str = "body",
     file_name: str = "file_name",
-    features: Sequence[str] = tuple(COVARIATE_COLUMNS),
+    features: Sequence[str] | None = None,
     file_pattern: str = COLUMN_FILE,
 ) -> DataFrame:
-    """Columnar JSON texts to (entity_id, ts_utc, feature, value), nulls dropped."""
-    lists = ", ".join(f"{f}: array<double>" for f in features)
-    schema = f"hourly struct<time: array<string>, {lists}>"
-    # Parsed in a step of its own, so that each text is parsed once and not once per list.
+    """Columnar JSON texts to (entity_id, ts_utc, feature, value), nulls and NaN dropped.
+
+    Every list beside ``time`` is a feature, unless ``features`` names the wanted
+    ones. A file name that does not match the pattern raises.
+    """
+    entity = F.regexp_extract(F.col(file_name), file_pattern, 1)
+    unnamed = F.raise_error(F.concat(F.lit("no entity in the file name "), F.coalesce(file_name, F.lit("NULL"))))
+    # Parsed in a step of its own, so that each text is parsed once and not once per
+    # list. Numbers stay text until the lists are taken apart, as ``time`` is text.
     parsed = documents.select(
-        F.regexp_extract(F.col(file_name), file_pattern, 1).alias("entity_id"),
-        F.from_json(F.col(body), schema, {"mode": "FAILFAST"}).alias("doc"),
-    )
-    hourly = F.col("doc.hourly")
-    # A feature the document lacks becomes a list of nulls.
-    none = F.array().cast("array<double>")
-    aligned = F.arrays_zip(
-        hourly["time"].alias("time"), *[F.coalesce(hourly[f], none).alias(f) for f in features]
-    )
-    wide = (
-        parsed.select("entity_id", F.inline(aligned))
-        .withColumn("ts_utc", _hour("time"))
-        .drop("time")
+        F.when(entity != "", entity).otherwise(unnamed.cast("string")).alias("entity_id"),
+        F.from_json(F.col(body), "hourly map<string, array<string>>", {"mode": "FAILFAST"})["hourly"].alias("hourly"),
     )
-    return melt(wide.select(*KEYS, *features)).select(*COVARIATE_KEYS, "value")
+    lists = F.map_filter("hourly", lambda name, _: name != "time")
+    if features is not None:
+        lists = F.map_filter(lists, lambda name, _: name.isin(*features))
+    series = parsed.select("entity_id", F.col("hourly")["time"].alias("time"), F.explode(lists).alias("feature", "value"))
+    rows = series.select("entity_id", "feature", F.inline(F.arrays_zip("time", "value")))
+    # A bare NaN comes out of the parser in quotes.
+    number = F.btrim("value", F.lit('"')).cast("double")
+    return rows.select(
+        "entity_id", _hour("time").alias("ts_utc"), "feature", F.when(~F.isnan(number), number).alias("value")
+    ).where(F.col("value").isNotNull())
 
 
 def _hour(time: str) -> Column:

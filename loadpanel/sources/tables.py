@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loadpanel.operators.quality import assert_key
-from loadpanel.scale import materialize
 
 
 def replace_table(
@@ -16,26 +16,47 @@ def replace_table(
     keys: Sequence[str] | None = None,
     partition_by: str | None = None,
     cluster_by: Sequence[str] = ("entity_id", "ts_utc"),
+    check: Callable[[DataFrame], object] | None = None,
 ) -> DataFrame:
     """Replace the table at ``path`` and return it as read back.
 
-    With ``keys`` the key is checked on the input first, so that a repeated key
-    leaves the old table in place. Rows are range-partitioned by the clustering
-    columns: files hold consecutive rows, an entity of any size is spread over
-    many files, and scans by entity or time skip files on their statistics.
-    Partition by a column of few values (series or feature), never by entity.
+    The new table is written beside the old one and swapped in only after its key
+    and ``check`` have passed on what was written; whatever fails before leaves the
+    old table. Rows are range-partitioned by the clustering columns: files hold
+    consecutive rows, an entity of any size is spread over many files, and scans by
+    entity or time skip files on their statistics. Partition by a column of few
+    values (series or feature), never by entity.
     """
-    # The input is read for the key, for the range bounds and for the rows, so it
-    # is computed once; raw files would otherwise be parsed three times.
-    df = materialize(df, "incoming")
-    if keys:
-        assert_key(df, keys)
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
     order = [*([partition_by] if partition_by else []), *cluster_by]
-    writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+    writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    writer.parquet(staged)
+    written = spark.read.schema(df.schema).parquet(staged).select(*df.columns)
+    if keys:
+        assert_key(written, keys)
+    if check:
+        check(written)
+    _swap(spark, staged, path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Puts the staged folder in the place of ``path``, whichever file system they are on."""
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    new, place, old = to_path(staged), to_path(path), to_path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = files.exists(place)
+    if had and not files.rename(place, old):
+        raise OSError(f"{path} cannot be moved aside")
+    if not files.rename(new, place):
+        if had:
+            files.rename(old, place)
+        raise OSError(f"{staged} cannot be moved to {path}")
+    if had:
+        files.delete(old, True)
 
 
 def scan_entity(df: DataFrame, entity: str) -> DataFrame:

@@ -86,3 +86,10 @@ def test_response_curve_bins_by_degree(spark):
     assert rows(feat.response_curve(pairs), "temp_bin", "n", "mean_demand_mw") == [
         (-1.0, 2, 105.0), (3.0, 1, 90.0),
     ]
+
+
+def test_null_zone_gives_a_null_calendar(spark):
+    frame = obs(spark, [1.0], entity="X").unionByName(obs(spark, [1.0], entity="Y"))
+    tz = spark.createDataFrame([("X", "America/Chicago"), ("Y", None)], "entity_id string, tzname string")
+    found = {r["entity_id"]: r["hour_local"] for r in feat.local_calendar(frame, tz).collect()}
+    assert found == {"X": 18, "Y": None}

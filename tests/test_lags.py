@@ -93,3 +93,9 @@ def test_null_counts_and_correlations(spark):
     c = lags.lag_correlations(lagged, ["lag_48h"]).first()
     pdf = lagged.toPandas()
     assert c["c_48h"] == pytest.approx(pdf["demand_mw"].corr(pdf["lag_48h"]), abs=6e-4)
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_rolling_mean_of_large_values(spark, strict):
+    out = add_lags(obs(spark, [4e12] * 100).withColumnRenamed("value", "demand_mw"), strict=strict)
+    assert {r[0] for r in out.where("rolling_24h_mean is not null").select("rolling_24h_mean").collect()} == {4e12}

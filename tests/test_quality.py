@@ -5,7 +5,7 @@ from loadpanel.functions.columns import safe_corr
 from loadpanel.operators import plausibility as pl
 from loadpanel.operators import quality as q
 from loadpanel.plans.baseline import baseline_score, paired_forecasts, raw_baseline_score
-from loadpanel.schema import EmptyColumn, KeyViolation, SchemaError, column_report, null_out_nan, require_columns
+from loadpanel.schema import EmptyColumn, KeyViolation, SchemaError, require_columns
 
 KEY = ["entity_id", "ts_utc", "series_type"]
 
@@ -97,7 +97,6 @@ def test_null_profile_and_empty_column(spark):
 
 def test_missing_columns_are_named_without_a_job(spark):
     df = obs(spark, [1.0])
-    assert column_report(df, ["value", "wind"]) == {"value": True, "wind": False}
     with pytest.raises(SchemaError, match="wind"):
         require_columns(df, ["value", "wind"])
 
@@ -114,11 +113,13 @@ def test_constant_series_has_no_correlation(spark):
     assert line.agg(safe_corr("x", "y")).first()[0] == pytest.approx(1.0)
 
 
-def test_nan_becomes_null(spark):
-    df = null_out_nan(spark.createDataFrame([(float("nan"),), (1.0,)], "v double"), "v")
-    assert rows(df.where("v is not null"), "v") == [(1.0,)]
-
-
 def test_covariate_profile_rounds(spark):
     cov = spark.createDataFrame([("X", T0, "t", 1.04), ("X", T0 + HOUR, "t", 2.0)], COV)
     assert tuple(q.covariate_profile(cov).first()) == ("t", 2, 1.0, 1.5, 2.0)
+
+
+def test_first_missing_hours_of_each_entity(spark):
+    both = obs(spark, [1.0] * 60).unionByName(obs(spark, [1.0] * 30, entity="Y")).unionByName(obs(spark, [1.0], series="DF"))
+    got = q.first_missing_hours(both, "D", "DF").collect()
+    hours = {e: sorted(r["ts_utc"] for r in got if r["entity_id"] == e) for e in "XY"}
+    assert hours == {"X": [T0 + i * HOUR for i in range(1, 21)], "Y": [T0 + i * HOUR for i in range(20)]}

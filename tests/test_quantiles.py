@@ -42,3 +42,27 @@ def test_equal_to_numpy(values, group_rows, bins):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "k string, v double")
     assert exact_quantiles(empty, ["k"], "v", PROBS).count() == 0
+
+
+@pytest.mark.parametrize("group_rows, bins", [(10_000, 8), (1, 8), (1, 64)])
+def test_infinite_and_nan_values(spark, group_rows, bins):
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "both ends": [-inf, -inf, *map(float, range(50)), inf],
+        "one": [*map(float, range(100)), inf],
+        "only": [inf, inf, -inf],
+        "subnormal": [5e-324, 1e-323, 0.0, 5e-324],
+    }
+    rows = [(k, v) for k, vs in groups.items() for v in vs] + [("one", nan), ("one", nan), ("nothing", nan)]
+    frame = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r for r in exact_quantiles(frame, ["k"], "v", PROBS, group_rows, bins).collect()}
+    assert set(got) == {*groups, "nothing"} and got["nothing"]["med"] is None
+    for k, vs in groups.items():
+        ordered = sorted(vs)
+        for name, p in PROBS.items():
+            at = p * (len(vs) - 1)
+            lo, hi = int(np.floor(at)), int(np.ceil(at))
+            if lo == hi or ordered[lo] == ordered[hi]:
+                assert got[k][name] == ordered[lo], (k, name)
+            elif np.isinf(ordered[lo]) or np.isinf(ordered[hi]):
+                assert not np.isfinite(got[k][name])

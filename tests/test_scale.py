@@ -78,8 +78,16 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert folder in materialize(spark.range(5), "five").inputFiles()[0]
 
 
-def test_without_a_shared_folder_the_frame_is_persisted(spark, monkeypatch):
-    monkeypatch.setattr(scale, "scratch_dir", lambda spark: None)
-    kept = materialize(spark.range(5), "five")
-    assert kept.is_cached and kept.count() == 5
-    kept.unpersist()
+def test_a_cluster_without_a_shared_folder_gets_one_clear_error():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scale.scratch_dir(Session())

@@ -128,3 +128,37 @@ def test_contracts_need_every_member(contract, members):
     assert isinstance(stub("name", *members), contract)
     for left_out in ("name", *members):
         assert not isinstance(stub(*({"name", *members} - {left_out})), contract)
+
+
+def test_every_member_of_a_columnar_document_is_a_feature(spark):
+    body = '{"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "snow": [NaN, 1.5], "rain": [null, 2]}}'
+    texts = spark.createDataFrame([(body, "FPL_weather.json")], "body string, file_name string")
+    assert rows(parse_columnar(texts), "feature", "value") == [("rain", 2.0), ("snow", 1.5)]
+    assert rows(parse_columnar(texts, features=["snow"]), "feature") == [("snow",)]
+    with pytest.raises(Exception, match="no entity in the file name"):
+        parse_columnar(texts.withColumn("file_name", F.lit("FPL.json"))).collect()
+
+
+def test_replacement_leaves_nothing_of_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    d, df = obs(spark, [1.0, 2.0]), obs(spark, [3.0], series="DF")
+    replace_table(d, path, OBSERVATION_KEYS, "series_type")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        assert rows(replace_table(df, path, OBSERVATION_KEYS, "series_type"), "value") == [(3.0,)]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_a_failing_check_or_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    replace_table(obs(spark, [1.0]), path)
+
+    def refuse(table):
+        raise KeyViolation("no")
+
+    with pytest.raises(KeyViolation):
+        replace_table(obs(spark, [2.0]), path, check=refuse)
+    with pytest.raises(Exception, match="broken"):
+        replace_table(obs(spark, [2.0]).withColumn("value", F.raise_error(F.lit("broken")).cast("double")), path)
+    assert [r["value"] for r in spark.read.parquet(path).collect()] == [1.0]
