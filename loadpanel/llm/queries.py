@@ -95,7 +95,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate secret of every text with the forest's score; values as digests."""
-    found = secrets.scan(table(spark, sf_dir, "documents"), F.col("source"))
+    found = secrets.scan(table(spark, sf_dir, "documents"), "source")
     return found.select(
         "doc_id",
         "no",

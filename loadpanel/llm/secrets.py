@@ -35,11 +35,11 @@ FEATURES = (
 )
 
 
-def find_candidates(docs: DataFrame, path: Column) -> DataFrame:
+def find_candidates(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, no (in the text, from 0), value, before, after and path of every candidate in the whole text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(path.cast("string"), F.lit("")).alias("path"), text.alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), text.alias("text")
     )
     # The text cut at its candidates: piece i stands before candidate i, piece i + 1 behind it.
     rows = rows.filter(F.col("text").rlike(CANDIDATE))
@@ -141,7 +141,7 @@ def rule_label() -> Column:
     return F.when(true, 1).when(~named & ~assigned, 0)
 
 
-def scan(docs: DataFrame, path: Column, labels: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
+def scan(docs: DataFrame, path: str, labels: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """Every candidate of ``docs`` with its score: doc_id, no, path, value, before, after, score, is_secret.
 
     ``labels`` (value, label) marks findings by value; without it ``rule_label``
