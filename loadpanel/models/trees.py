@@ -16,16 +16,17 @@ from loadpanel.models.mean import MeanForecaster
 from loadpanel.operators.folds import FoldPlan
 from loadpanel.scale import lookup_join
 
-LEVEL = "_level"
+LEVEL, SHARE = "_level", "_share"
 
 
 class BoostedTreesForecaster(ResidualQuantiles):
     """One boosted ensemble per fold, over all entities.
 
-    What tells entities apart is the mean of their training rows in that fold, an
-    input beside the others; so there are ``n_folds`` fits at any number of
-    entities, each a distributed job over its training rows. ``fit`` reads the rows
-    many times, so pass a stored table, as the backtest does.
+    The trees learn the target as a share of the mean of the entity's training rows
+    in that fold, so that large entities do not outweigh small ones; that mean is
+    also an input. So there are ``n_folds`` fits at any number of entities, each a
+    distributed job over its training rows. ``fit`` reads the rows many times, so
+    pass a stored table, as the backtest does.
     """
 
     def __init__(
@@ -44,7 +45,9 @@ class BoostedTreesForecaster(ResidualQuantiles):
 
     def _inputs(self, rows: DataFrame, fold: int) -> DataFrame:
         """Rows of entities that train in the fold, with their inputs as one vector."""
-        levels = self.levels.where(F.col("fold") == fold).select("entity_id", F.col("mean").alias(LEVEL))
+        # An entity that is zero on average keeps its own scale.
+        level = F.coalesce(F.nullif(F.col("mean"), F.lit(0.0)), F.lit(1.0))
+        levels = self.levels.where(F.col("fold") == fold).select("entity_id", level.alias(LEVEL))
         levelled = lookup_join(rows, levels, ["entity_id"], spread="ts_utc")
         return VectorAssembler(inputCols=[*self.features, LEVEL], outputCol="_x").transform(levelled)
 
@@ -59,7 +62,7 @@ class BoostedTreesForecaster(ResidualQuantiles):
         self.levels = MeanForecaster().fit(rows, features, target, plan).means
         learner = GBTRegressor(
             featuresCol="_x",
-            labelCol=target,
+            labelCol=SHARE,
             maxIter=self.n_trees,
             stepSize=self.learning_rate,
             maxDepth=self.depth,
@@ -70,7 +73,8 @@ class BoostedTreesForecaster(ResidualQuantiles):
         folds = [] if first is None else range(first, plan.n_folds)
 
         def one(fold: int) -> GBTRegressionModel:
-            return learner.fit(self._inputs(self._trained_on(rows, fold), fold))
+            train = self._inputs(self._trained_on(rows, fold), fold)
+            return learner.fit(train.withColumn(SHARE, F.col(target) / F.col(LEVEL)))
 
         # The fits are separate jobs; several at a time keep a cluster busy.
         with ThreadPool(self.parallelism) as pool:
@@ -81,7 +85,9 @@ class BoostedTreesForecaster(ResidualQuantiles):
     def _predicted(self, rows_of) -> DataFrame:
         """``rows_of(fold)`` with the fold's predictions, for all folds."""
         parts = [
-            model.transform(self._inputs(rows_of(fold), fold)).drop("_x", LEVEL)
+            model.transform(self._inputs(rows_of(fold), fold))
+            .withColumn("prediction", F.col("prediction") * F.col(LEVEL))
+            .drop("_x", LEVEL)
             for fold, model in self.models.items()
         ]
         return reduce(DataFrame.unionByName, parts)

@@ -246,9 +246,10 @@ SKILL = (
     f"scored as (\n  {_skill_of('mean', 'mean_pred')}\n  union all\n  {_skill_of('ridge', 'ridge_pred')})",
 )
 
-# The cut of least squared error over all inputs of a fold, entities pooled; a level is an entity's training mean.
+# The cut of least squared error over all inputs of a fold, entities pooled, demand as a share of the entity's
+# training mean, which is itself an input.
 STUMP_MODEL = """levelled as (
-  select train.fold, demand_mw as y, cast(is_weekend as double) as w, cast(month_local as double) as m, mean as l
+  select train.fold, demand_mw / mean as y, cast(is_weekend as double) as w, cast(month_local as double) as m, mean as l
   from train join mean_fit using (entity_id, fold)),
 inputs as (
   select fold, 'w' as input, w as v, y from levelled union all
@@ -265,7 +266,7 @@ best as (
                              + (s_all - s_left) * (s_all - s_left) / (n_all - n_left) desc) = 1),
 stump_pred as (
   select test.*, case when (case input when 'w' then is_weekend when 'm' then month_local else mean end) <= cut
-                      then below else above end as prediction
+                      then below else above end * mean as prediction
   from test join mean_fit using (entity_id, fold) join best using (fold))"""
 
 ASSIGNED = """select entity_id, ts_utc,
