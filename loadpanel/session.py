@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -49,3 +52,18 @@ def local_session(cores: str = "8", app: str = "loadpanel", **conf: str) -> Spar
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return pin_utc(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Sends this package to the Python workers, unless their path names its folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    context = spark.sparkContext
+    known = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known and context.applicationId not in _SHIPPED:
+        folder = tempfile.mkdtemp(prefix="loadpanel-")
+        context.addPyFile(shutil.make_archive(f"{folder}/loadpanel", "zip", root, "loadpanel"))
+        _SHIPPED.add(context.applicationId)
+    return spark
