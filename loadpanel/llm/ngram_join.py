@@ -171,7 +171,7 @@ def _prefix_length(n: Column, percent: int) -> Column:
 
 
 def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, id, n) of the prefixes with the rarest tokens first.
+    """(token, id, n, pos) of the prefixes with the rarest tokens first; ``pos`` is the token's place.
 
     A token of one node only is rarest of all and leads to nobody, so it just uses
     up a place of the prefix.
@@ -182,13 +182,22 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("held", "token"))).alias("common")
     )
     sized = ordered.join(sets.select("id", "n"), "id")
-    places = _prefix_length(F.col("n"), percent) - (F.col("n").cast("int") - F.size("common"))
+    alone = F.col("n").cast("int") - F.size("common")
+    places = _prefix_length(F.col("n"), percent) - alone
     prefix = F.slice("common", F.lit(1), F.greatest(places, F.lit(0)))
-    return materialize(sized.select("id", "n", F.explode(prefix["token"]).alias("token")), "shingle-prefixes")
+    placed = sized.withColumn("alone", alone).select("id", "n", "alone", F.posexplode(prefix["token"]).alias("i", "token"))
+    return materialize(placed.select("id", "n", "token", (F.col("alone") + F.col("i")).alias("pos")), "shingle-prefixes")
 
 
-def _size_fits(a: str, b: str, percent: int) -> Column:
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def _may_reach(a: str, pos_a: str, b: str, pos_b: str, percent: int) -> Column:
+    """Whether two sets whose first common token has these places can be similar enough.
+
+    Sizes must fit, and what stands from the token on must suffice for the overlap.
+    A similar pair passes at its first common token, so it passes somewhere.
+    """
+    fits = (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+    left = F.least(F.col(a) - F.col(pos_a), F.col(b) - F.col(pos_b))
+    return fits & (left * (100 + percent) >= (F.col(a) + F.col(b)) * percent)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -211,27 +220,33 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _pivot_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Each node with the pivot of each of its groups; groups of the same nodes have few different pivots."""
+    """Each node with the pivot of each of its groups; groups of the same nodes have few different pivots.
+
+    The pivot is the node with the fewest tokens of its own, the one most like the others.
+    """
     order = F.xxhash64(F.col("id"), F.pmod(F.col("token"), F.lit(PIVOTS)))
     pivots = prefixes.groupBy("token").agg(
-        F.min(F.struct(order.alias("order"), "id", "n")).alias("pivot"), F.count(F.lit(1)).alias("held")
+        F.min(F.struct("pos", order.alias("order"), "id", "n")).alias("pivot"), F.count(F.lit(1)).alias("held")
+    )
+    pivots = pivots.filter("held > 1").select(
+        "token", F.col("pivot.id").alias("v"), F.col("pivot.n").alias("n_v"), F.col("pivot.pos").alias("pos_v")
     )
-    pivots = pivots.filter("held > 1").select("token", F.col("pivot.id").alias("v"), F.col("pivot.n").alias("n_v"))
     pairs = prefixes.join(pivots.hint("merge"), "token").filter(F.col("id") != F.col("v"))
-    return pairs.filter(_size_fits("n", "n_v", percent)).select(F.col("id").alias("u"), "v").distinct()
+    return pairs.filter(_may_reach("n", "pos", "n_v", "pos_v", percent)).select(F.col("id").alias("u"), "v").distinct()
 
 
 def _rest_pairs(prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """All pairs of nodes with a common prefix token that no component holds together yet."""
     rooted = prefixes.join(_small(roots), prefixes["id"] == roots["node"], "left").select(
-        "token", "id", "n", F.coalesce("root", "id").alias("root")
+        "token", "id", "n", "pos", F.coalesce("root", "id").alias("root")
     )
     mixed = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = mixed.filter("low < high").select("token")
     rooted = materialize(rooted.join(mixed.hint("merge"), "token", "left_semi"), "shingle-mixed")
     a, b = rooted.alias("a"), rooted.alias("b")
     apart = (F.col("a.id") < F.col("b.id")) & (F.col("a.root") != F.col("b.root"))
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & apart & _size_fits("a.n", "b.n", percent))
+    reach = _may_reach("a.n", "a.pos", "b.n", "b.pos", percent)
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & apart & reach)
     return pairs.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
 
 
