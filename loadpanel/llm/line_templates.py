@@ -27,9 +27,16 @@ def _text() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
-def _key() -> Column:
-    """Names a row: its id and its text."""
-    return F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.sha2(_text(), 256))
+def _two(name: str, *parts: Column) -> list[Column]:
+    """A 128-bit name of the parts, as two columns."""
+    return [F.xxhash64(*parts).alias(f"{name}1"), F.xxhash64(F.lit(name), *reversed(parts)).alias(f"{name}2")]
+
+
+ROW, LINE = ["row1", "row2"], ["line1", "line2"]
+
+
+def _row_name() -> list[Column]:
+    return _two("row", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), _text())
 
 
 def _document() -> Column:
@@ -38,57 +45,58 @@ def _document() -> Column:
 
 
 def _lines(docs: DataFrame, depth: int) -> DataFrame:
-    """key, doc, no, line, tokens and leaf of every line that has tokens."""
+    """Every line that has tokens: the row it is in, doc, no, line, its name, tokens and leaf."""
     lines = docs.select(
-        _key().alias("key"), _document().alias("doc"), F.posexplode(F.split(_text(), "\n", -1)).alias("no", "line")
+        *_row_name(), _document().alias("doc"), F.posexplode(F.split(_text(), "\n", -1)).alias("no", "line")
     )
     lines = lines.withColumn("tokens", F.regexp_extract_all("line", F.lit(TOKEN), F.lit(1))).filter(F.size("tokens") > 0)
     lead = F.transform(
         F.slice("tokens", 1, depth), lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t)
     )
-    return lines.withColumn("leaf", F.concat_ws(" ", F.size("tokens").cast("string"), lead))
+    return lines.select("*", *_two("line", F.col("line")), F.concat_ws(" ", F.size("tokens").cast("string"), lead).alias("leaf"))
 
 
-def _semi(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    return rows.join(F.broadcast(keys) if is_small(keys) else keys, on, "left_semi")
+def _small(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if is_small(keys) else keys
 
 
 def line_templates(
     docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_constant: float = MIN_CONSTANT
 ) -> tuple[DataFrame, DataFrame]:
-    """The recurring templates (leaf, template, n_docs), and the rows (key, no) of the lines that have one."""
+    """The recurring templates (leaf, template, n_docs), and the rows (row1, row2, no) of the lines that have one."""
     lines = _lines(docs, depth)
     leaves = lines.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n_docs"))
     leaves = materialize(leaves.filter(F.col("n_docs") >= min_docs).select("leaf"), "template-leaves")
-    rows = materialize(_semi(lines, leaves, ["leaf"]).select("key", "doc", "no", "line", "leaf"), "template-lines")
-    # Each distinct line once, with the number of documents that have it.
-    distinct = rows.select("leaf", "line", "doc").distinct().groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
-    distinct = materialize(
-        distinct.withColumn("tokens", F.regexp_extract_all("line", F.lit(TOKEN), F.lit(1))), "template-distinct"
+    rows = materialize(
+        lines.join(_small(leaves), "leaf", "left_semi").select(*ROW, *LINE, "doc", "no", "line", "leaf"), "template-lines"
     )
-    places = distinct.select("leaf", "line", "n", F.posexplode("tokens").alias("place", "token"))
+    # Each distinct line once, with the number of documents that have it; its text is shuffled once.
+    held = rows.select(*LINE, "doc").distinct().groupBy(*LINE).agg(F.count(F.lit(1)).alias("n"))
+    texts = rows.groupBy(*LINE).agg(F.first("line").alias("line"), F.first("leaf").alias("leaf"))
+    tokens = F.regexp_extract_all("line", F.lit(TOKEN), F.lit(1))
+    distinct = materialize(texts.join(held, LINE).select(*LINE, "leaf", "n", tokens.alias("tokens")), "template-distinct")
+    places = distinct.select(*LINE, "leaf", "n", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token"))
     constants = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("support"))
     constants = materialize(constants.filter(F.col("support") >= min_docs).drop("support"), "template-constants")
-    constants = constants.withColumn("constant", F.lit(True))
-    marked = places.drop("n").join(
-        F.broadcast(constants) if is_small(constants) else constants, ["leaf", "place", "token"], "left"
+    # Only constants go on: they and the number of tokens make the template.
+    marked = places.join(_small(constants), ["leaf", "place", "token"])
+    named = marked.groupBy(*LINE).agg(
+        F.first("leaf").alias("leaf"),
+        F.first("size").alias("size"),
+        F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("constants"),
     )
-    # A line has few places, so its group is small.
     fields = F.transform(
-        F.sort_array(F.collect_list(F.struct("place", "token", F.coalesce("constant", F.lit(False)).alias("constant")))),
-        lambda p: F.when(p["constant"], p["token"]).otherwise(F.lit(FIELD)),
-    )
-    named = marked.groupBy("leaf", "line").agg(
-        F.concat_ws(" ", fields).alias("template"),
-        F.avg(F.coalesce("constant", F.lit(False)).cast("double")).alias("share"),
+        F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.coalesce(F.col("constants")[i], F.lit(FIELD))
     )
-    named = materialize(named.filter(F.col("share") >= min_constant).drop("share"), "template-named")
-    found = rows.join(F.broadcast(named) if is_small(named) else named, ["leaf", "line"])
+    named = named.filter(F.size("constants") >= F.col("size") * min_constant)
+    named = materialize(named.select(*LINE, "leaf", F.concat_ws(" ", fields).alias("template")), "template-named")
+    found = rows.select(*ROW, *LINE, "doc", "no").join(_small(named), LINE)
     templates = (
         found.select("leaf", "template", "doc").distinct().groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("n_docs"))
     )
     templates = materialize(templates.filter(F.col("n_docs") >= min_docs), "templates")
-    return templates, _semi(found, templates.select("leaf", "template"), ["leaf", "template"]).select("key", "no")
+    key = ["leaf", "template"]
+    return templates, found.join(_small(templates).select(*key), key, "left_semi").select(*ROW, "no")
 
 
 def drop_templates(
@@ -103,10 +111,10 @@ def drop_templates(
     """
     _, dropped = line_templates(docs, depth, min_docs, min_constant)
     # The line numbers of one document, bounded by its text.
-    gone = materialize(dropped.groupBy("key").agg(F.collect_set("no").alias("gone")), "template-dropped")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"), _key().alias("key"))
+    gone = materialize(dropped.groupBy(*ROW).agg(F.collect_set("no").alias("gone")), "template-dropped")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"), *_row_name())
     lines = F.split("text", "\n", -1)
-    marked = rows.join(gone, "key", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
+    marked = rows.join(gone, ROW, "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
     kept = F.filter(lines, lambda line, i: ~F.array_contains("gone", i))
     return marked.select(
         "doc_id",
