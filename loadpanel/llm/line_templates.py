@@ -6,6 +6,10 @@ place if enough documents' lines have it there, and a variable field otherwise;
 line's template has ``<*>`` for its variable fields. A template that is constant
 enough and occurs in enough documents is boilerplate: its lines go, in all documents.
 
+``drop_templates`` states exactly what the query's SQL states. ``drop_repeats`` loses no
+line altogether: it counts distinct texts in place of ids and keeps a line, or a template,
+in the first document that has it.
+
 All counts combine before they are shuffled, so neither a line nor a leaf that a
 third of the corpus shares meets in one task; the result does not depend on order.
 """
@@ -109,7 +113,11 @@ def drop_templates(
     one document; rows with a null id as one for each text. Other columns are not
     looked at. Without rows, no rows.
     """
-    _, dropped = line_templates(docs, depth, min_docs, min_constant)
+    return _without(docs, line_templates(docs, depth, min_docs, min_constant)[1])
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the lines of the rows (row1, row2, no)."""
     # The line numbers of one document, bounded by its text.
     gone = materialize(dropped.groupBy(*ROW).agg(F.collect_set("no").alias("gone")), "template-dropped")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"), *_row_name())
@@ -122,3 +130,68 @@ def drop_templates(
         F.size("gone").cast("long").alias("n_dropped"),
         F.array_join(kept, "\n").alias("text"),
     )
+
+
+def _first() -> Column:
+    """The row with the smallest doc_id, null last, and of equal ids the one with the smallest name."""
+    return F.min(F.struct(F.col("id").isNull().alias("null"), "id", *ROW)).alias("first")
+
+
+def _later() -> Column:
+    """Whether a row is another one than the first."""
+    return (F.col("row1") != F.col("first.row1")) | (F.col("row2") != F.col("first.row2"))
+
+
+def _repeated_templates(lines: DataFrame, depth: int, min_docs: int, min_constant: float) -> DataFrame:
+    """The rows (row1, row2, no) of lines with a recurring template, but for its first document."""
+    leaves = lines.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n_docs"))
+    leaves = materialize(leaves.filter(F.col("n_docs") >= min_docs).select("leaf"), "repeat-leaves")
+    rows = lines.join(_small(leaves), "leaf", "left_semi")
+    rows = materialize(rows.select(*ROW, *LINE, "doc", "id", "no", "line", "leaf"), "repeat-lines")
+    held = rows.select(*LINE, "doc").distinct().groupBy(*LINE).agg(F.count(F.lit(1)).alias("n"))
+    texts = rows.groupBy(*LINE).agg(F.first("line").alias("line"), F.first("leaf").alias("leaf"))
+    tokens = F.regexp_extract_all("line", F.lit(TOKEN), F.lit(1))
+    distinct = materialize(texts.join(held, LINE).select(*LINE, "leaf", "n", tokens.alias("tokens")), "repeat-distinct")
+    places = distinct.select(*LINE, "leaf", "n", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token"))
+    constants = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("support"))
+    constants = materialize(constants.filter(F.col("support") >= min_docs).drop("support"), "repeat-constants")
+    named = places.join(_small(constants), ["leaf", "place", "token"]).groupBy(*LINE).agg(
+        F.first("leaf").alias("leaf"),
+        F.first("size").alias("size"),
+        F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("constants"),
+    )
+    alike = F.size("constants") >= F.col("size") * min_constant
+    named = named.filter(alike)
+    fields = F.transform(
+        F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.coalesce(F.col("constants")[i], F.lit(FIELD))
+    )
+    named = materialize(named.select(*LINE, "leaf", F.concat_ws(" ", fields).alias("template")), "repeat-named")
+    found = rows.select(*ROW, *LINE, "doc", "id", "no").join(_small(named), LINE)
+    key = ["leaf", "template"]
+    counted = found.select(*key, "doc").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_docs"))
+    often = materialize(counted.filter(F.col("n_docs") >= min_docs).select(*key), "repeat-often")
+    firsts = materialize(
+        found.join(_small(often), key, "left_semi").groupBy(*key).agg(_first()), "repeat-templates"
+    )
+    return found.join(_small(firsts), key).filter(_later()).select(*ROW, "no")
+
+
+def drop_repeats(
+    docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_constant: float = MIN_CONSTANT
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_lines, n_dropped and the text that is left.
+
+    Copies of one text are one document here. A template that
+    ``min_docs`` different texts have stays in the first document that has it and goes
+    from all others, if
+    ``min_constant`` of its tokens are constants. First is the smallest doc_id, null last; rows that repeat an id are told
+    apart by their texts. Copies of a text that shares no line with another stay whole.
+    Other rules are those of ``drop_templates``.
+    """
+    text = F.struct(*_two("text", _text()))
+    named = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("doc"), *_row_name(), F.posexplode(F.split(_text(), "\n", -1)).alias("no", "line"))
+    named = named.filter(F.col("line").rlike(TOKEN)).select("*", *_two("line", F.col("line")))
+    tokens = F.regexp_extract_all("line", F.lit(TOKEN), F.lit(1))
+    lead = F.transform(F.slice(tokens, 1, depth), lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
+    lines = named.withColumn("leaf", F.concat_ws(" ", F.size(tokens).cast("string"), lead))
+    return _without(docs, _repeated_templates(lines, depth, min_docs, min_constant))

@@ -141,6 +141,13 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op9_line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines, and the lines of recurring templates, that an earlier document has."""
+    left = line_templates.drop_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query(
     f"""
     WITH RECURSIVE w AS (SELECT doc_id, {_TOKENS.format(_LOWER)} AS words FROM documents),
