@@ -143,7 +143,7 @@ def _later() -> Column:
 
 
 def _repeated_templates(lines: DataFrame, depth: int, min_docs: int, min_constant: float) -> DataFrame:
-    """The rows (row1, row2, no) of lines with a recurring template, but for its first document."""
+    """The rows (row1, row2, no) of lines with a recurring template that has variable fields, but for its first document."""
     leaves = lines.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n_docs"))
     leaves = materialize(leaves.filter(F.col("n_docs") >= min_docs).select("leaf"), "repeat-leaves")
     rows = lines.join(_small(leaves), "leaf", "left_semi")
@@ -161,7 +161,7 @@ def _repeated_templates(lines: DataFrame, depth: int, min_docs: int, min_constan
         F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("constants"),
     )
     alike = F.size("constants") >= F.col("size") * min_constant
-    named = named.filter(alike)
+    named = named.filter(alike & (F.size("constants") < F.col("size")))
     fields = F.transform(
         F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.coalesce(F.col("constants")[i], F.lit(FIELD))
     )
@@ -181,9 +181,9 @@ def drop_repeats(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_dropped and the text that is left.
 
-    Copies of one text are one document here. A template that
-    ``min_docs`` different texts have stays in the first document that has it and goes
-    from all others, if
+    Copies of one text are one document here. A line that two different texts have
+    stays in the first document that has it and goes from all others. A template with
+    variable fields goes the same way from ``min_docs`` different texts on, if
     ``min_constant`` of its tokens are constants. First is the smallest doc_id, null last; rows that repeat an id are told
     apart by their texts. Copies of a text that shares no line with another stay whole.
     Other rules are those of ``drop_templates``.
@@ -191,7 +191,12 @@ def drop_repeats(
     text = F.struct(*_two("text", _text()))
     named = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("doc"), *_row_name(), F.posexplode(F.split(_text(), "\n", -1)).alias("no", "line"))
     named = named.filter(F.col("line").rlike(TOKEN)).select("*", *_two("line", F.col("line")))
+    # Only names are shuffled, and combined before: two texts are known by their smallest and largest name.
+    ends = named.groupBy(*LINE).agg(_first(), F.min("doc").alias("low"), F.max("doc").alias("high"))
+    repeated = materialize(ends.filter("low != high").select(*LINE, "first"), "repeat-exact")
+    exact = named.select(*ROW, *LINE, "no").join(_small(repeated), LINE).filter(_later()).select(*ROW, "no")
     tokens = F.regexp_extract_all("line", F.lit(TOKEN), F.lit(1))
     lead = F.transform(F.slice(tokens, 1, depth), lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
     lines = named.withColumn("leaf", F.concat_ws(" ", F.size(tokens).cast("string"), lead))
-    return _without(docs, _repeated_templates(lines, depth, min_docs, min_constant))
+    both = exact.unionByName(_repeated_templates(lines, depth, min_docs, min_constant))
+    return _without(docs, both)

@@ -18,5 +18,10 @@ def test_a_template_stays_in_its_smallest_id(spark):
     assert left(spark, table) == {i: table[0][1] if i == 5 else f"own{i}" for i in range(5, 17)}
 
 
+def test_exact_repeats_go_from_two_documents_on(spark):
+    table = [(2, "shared line of both\nfirst", "en", "s"), (1, "shared line of both\nsecond", "en", "s"), (None, "shared line of both", "en", "s")]
+    assert left(spark, table) == {1: "shared line of both\nsecond", 2: "first", None: ""}
+
+
 def test_no_rows(spark):
     assert rows(lt.drop_repeats(docs(spark, []))) == []
