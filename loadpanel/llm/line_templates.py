@@ -160,7 +160,9 @@ def _repeated_templates(lines: DataFrame, depth: int, min_docs: int, min_constan
         F.first("size").alias("size"),
         F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("constants"),
     )
-    alike = F.size("constants") >= F.col("size") * min_constant
+    # The leading tokens name the leaf, so only those behind them say that lines are alike.
+    behind = F.size(F.filter(F.map_keys("constants"), lambda i: i >= depth))
+    alike = (behind > 0) & (behind >= (F.col("size") - depth) * min_constant)
     named = named.filter(alike & (F.size("constants") < F.col("size")))
     fields = F.transform(
         F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.coalesce(F.col("constants")[i], F.lit(FIELD))
@@ -184,7 +186,8 @@ def drop_repeats(
     Copies of one text are one document here. A line that two different texts have
     stays in the first document that has it and goes from all others. A template with
     variable fields goes the same way from ``min_docs`` different texts on, if
-    ``min_constant`` of its tokens are constants. First is the smallest doc_id, null last; rows that repeat an id are told
+    ``min_constant`` of its tokens behind the leading ones, and one at least, are
+    constants. First is the smallest doc_id, null last; rows that repeat an id are told
     apart by their texts. Copies of a text that shares no line with another stay whole.
     Other rules are those of ``drop_templates``.
     """
