@@ -8,6 +8,8 @@ and Spark ML; no Python runs on the executors.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +24,10 @@ CANDIDATE = r"([A-Za-z0-9_+/=\-]{20,}|(?=[A-Za-z_+/=\-]*[0-9])[A-Za-z0-9_+/=\-]{
 AROUND = 48
 NAMING = r"(?i)(key|token|secret|passw|pwd|auth|credential|bearer|private)"
 HARMLESS = r"(?i)(example|sample|test|dummy|placeholder|changeme|mock|fixture|vendor|doc)"
+# What of a candidate is a name and its assignment.
+NAME = r"^([A-Za-z_\-][A-Za-z0-9_\-]*=(?=[^=]))"
+# A bare value with more bits a character than this, or with letters and digits mixed, may be a secret.
+RANDOM_BITS = 3.5
 # The most frequent words of the corpus serve as dictionary: at most so many, of so many letters at least.
 DICTIONARY_WORDS = 20_000
 DICTIONARY_LETTERS = 3
@@ -33,6 +39,9 @@ FEATURES = (
     "length", "transitions", "digits", "capitals", "symbols", "distinct", "hex", "coverage",
     "path_depth", "path_harmless", "path_group", "named", "assigned", "quoted", "near_harmless", "near_letters",
 )
+# What rule_label looks at; a forest that learns from it does not see them.
+RULE_FLAGS = ("named", "assigned", "quoted", "near_harmless")
+UNRULED = tuple(f for f in FEATURES if f not in RULE_FLAGS)
 
 
 def find_candidates(docs: DataFrame, path: str) -> DataFrame:
@@ -59,6 +68,13 @@ def find_candidates(docs: DataFrame, path: str) -> DataFrame:
     return rows.select("doc_id", "path", "no", "f.value", "f.before", "f.after")
 
 
+def without_names(found: DataFrame) -> DataFrame:
+    """The findings with a leading name and its assignment moved from ``value`` to ``before``."""
+    name = F.regexp_extract("value", NAME, 1)
+    before = F.right(F.concat("before", name), F.lit(AROUND))
+    return found.withColumns({"before": before, "value": F.substr("value", F.length(name) + 1)})
+
+
 def dictionary(docs: DataFrame, size: int = DICTIONARY_WORDS) -> DataFrame:
     """The most frequent letter-only words of the whole corpus, a bounded table."""
     text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -96,19 +112,21 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         flag(F.col("path").rlike(HARMLESS)).alias("path_harmless"),
         F.pmod(F.xxhash64("path"), F.lit(PATH_GROUPS)).cast("double").alias("path_group"),
         flag(F.col("before").rlike(NAMING)).alias("named"),
-        flag(before.rlike(r"[=:]$")).alias("assigned"),
+        flag(before.rlike(r"([=:]|=>)$")).alias("assigned"),
         flag(F.col("before").rlike(r"[\"'`]$")).alias("quoted"),
         flag(F.col("before").rlike(HARMLESS) | F.col("after").rlike(HARMLESS)).alias("near_harmless"),
         (F.regexp_count(F.concat("before", "after"), F.lit(r"\p{L}")) / (2.0 * AROUND)).alias("near_letters"),
     )
 
 
-def _assembled(rows: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=list(FEATURES), outputCol="_inputs", handleInvalid="keep").transform(rows)
+def _assembled(rows: DataFrame, inputs: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=list(inputs), outputCol="_inputs", handleInvalid="keep").transform(rows)
 
 
-def fit(labelled: DataFrame, trees: int = 20, depth: int = 6, rows: int = TRAINING_ROWS) -> RandomForestClassificationModel | None:
-    """The forest from features and ``label`` (0 or 1), or None if the labels know one class only."""
+def fit(
+    labelled: DataFrame, trees: int = 20, depth: int = 6, rows: int = TRAINING_ROWS, inputs: Sequence[str] = FEATURES
+) -> RandomForestClassificationModel | None:
+    """The forest from the features ``inputs`` and ``label`` (0 or 1), or None if the labels know one class only."""
     order = F.xxhash64("value", "before", "after", "path", F.lit(7))
     # So few rows that one task holds them in a fixed order; reruns grow the same trees.
     known = labelled.filter("label in (0, 1)").orderBy(order, "value", "before", "after").limit(rows)
@@ -118,44 +136,56 @@ def fit(labelled: DataFrame, trees: int = 20, depth: int = 6, rows: int = TRAINI
     forest = RandomForestClassifier(
         featuresCol="_inputs", labelCol="label", numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="sqrt"
     )
-    model = forest.fit(_assembled(sample.withColumn("label", F.col("label").cast("double"))))
+    model = forest.fit(_assembled(sample.withColumn("label", F.col("label").cast("double")), inputs))
     # Read back, a model carries no reference to its training session into the tasks.
     path = new_folder(labelled.sparkSession, "secret-forest")
     model.write().save(path)
     return RandomForestClassificationModel.load(path)
 
 
-def scored(found: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
+def scored(
+    found: DataFrame, model: RandomForestClassificationModel | None, inputs: Sequence[str] = FEATURES
+) -> DataFrame:
     """The findings with ``score``, the forest's share for a true secret; 1 for all if there is no forest."""
     if model is None:
         return found.withColumn("score", F.lit(1.0))
-    out = model.setProbabilityCol("_p").setRawPredictionCol("").setPredictionCol("").transform(_assembled(found))
+    out = model.setProbabilityCol("_p").setRawPredictionCol("").setPredictionCol("").transform(_assembled(found, inputs))
     return out.withColumn("score", vector_to_array("_p")[1]).drop("_inputs", "_p")
 
 
+def _random() -> Column:
+    """Whether the value's characters look drawn at random, as far as its first 512 tell."""
+    chars = F.split(F.left("value", F.lit(512)), "")
+    share = F.transform(F.array_distinct(chars), lambda c: F.size(F.filter(chars, lambda x: x == c)) / F.size(chars))
+    bits = F.aggregate(share, F.lit(0.0), lambda total, p: total - p * F.log2(p))
+    return (F.col("value").rlike("[A-Za-z]") & F.col("value").rlike("[0-9]")) | (bits > RANDOM_BITS)
+
+
 def rule_label() -> Column:
     """Labels for findings where nobody has looked: assigned in quotes to a telling name is true;
-    neither named nor assigned is false; anything between stays unlabelled."""
+    neither named nor assigned is false if the value does not look random; all else stays unlabelled."""
     named, assigned, quoted = (F.col(c) == 1 for c in ("named", "assigned", "quoted"))
     true = named & assigned & quoted & (F.col("near_harmless") == 0)
-    return F.when(true, 1).when(~named & ~assigned, 0)
+    return F.when(true, 1).when(~named & ~assigned & ~_random(), 0)
 
 
 def scan(docs: DataFrame, path: str, labels: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """Every candidate of ``docs`` with its score: doc_id, no, path, value, before, after, score, is_secret.
 
     ``labels`` (value, label) marks findings by value; without it ``rule_label``
-    does, and only documents outside the held-out quarter are learnt from. Null and
+    does, only documents outside the held-out quarter are learnt from, and the forest does
+    not see what the rule looks at. A name and its assignment belong to ``before``. Null and
     empty texts have no candidates; a null path is empty. Repeated rows give their
     findings again. If the labels know one class only, every candidate is reported
     with score 1. Without rows, no rows.
     """
-    found = materialize(features(find_candidates(docs, path), dictionary(docs)), "secret-findings")
+    found = materialize(features(without_names(find_candidates(docs, path)), dictionary(docs)), "secret-findings")
+    inputs = UNRULED if labels is None else FEATURES
     if labels is None:
         held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
         labelled = found.filter(~held).withColumn("label", rule_label()).filter("label is not null")
     else:
         marks = labels.groupBy("value").agg(F.max(F.col("label").cast("int")).alias("label"))
         labelled = found.join(marks, "value")
-    out = scored(found, fit(labelled))
+    out = scored(found, fit(labelled, inputs=inputs), inputs)
     return out.withColumn("is_secret", F.col("score") >= threshold)
