@@ -18,14 +18,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from loadpanel.llm.common import new_folder
 from loadpanel.scale import materialize, row_bound
 
-# A candidate is a long run of key characters, or a shorter one with a digit in it.
-CANDIDATE = r"([A-Za-z0-9_+/=\-]{20,}|(?=[A-Za-z_+/=\-]*[0-9])[A-Za-z0-9_+/=\-]{16,19})"
+# A naming word with what assigns to it, or a word or two and a quote.
+_NAMED = (
+    r"(?<![A-Za-z0-9_\-])(?=[A-Za-z0-9_\-]*?(?i:key|token|secret|passw|pwd|auth|credential|bearer|private))[A-Za-z0-9_\-]++"
+    r"[\"'`]?(?:[ \t]{0,3}(?::=|=>|={1,3}|:)(?!=)[ \t]{0,3}(?:[Bb]earer[ \t]{1,3})?|(?:[ \t]{1,3}[A-Za-z]{1,12}){0,2}[ \t]{1,3}(?=[\"'`]))"
+)
+# A candidate is any quoted or assigned value behind a naming word (with the name, which is taken off later), a long
+# run of key characters, or a shorter one with a digit in it.
+CANDIDATE = (
+    f"({_NAMED}" r"(?:\"[^\"\r\n]+(?=\")|'[^'\r\n]+(?=')|`[^`\r\n]+(?=`)"
+    # Unquoted it ends at white space, or where another name is assigned to.
+    r"|[^\s\"'`][^\s\"'`,;&?]*+(?:[,;&?](?![A-Za-z0-9_.\-]++[=:])[^\s\"'`,;&?]*+)*+)"
+    r"|[A-Za-z0-9_+/=\-]{20,}|(?=[A-Za-z_+/=\-]*[0-9])[A-Za-z0-9_+/=\-]{16,19})"
+)
 # Up to two words before and one behind, with what stands between.
 AROUND = 48
 NAMING = r"(?i)(key|token|secret|passw|pwd|auth|credential|bearer|private)"
 HARMLESS = r"(?i)(example|sample|test|dummy|placeholder|changeme|mock|fixture|vendor|doc)"
-# What of a candidate is a name and its assignment.
-NAME = r"^([A-Za-z_\-][A-Za-z0-9_\-]*=(?=[^=]))"
+# What of a candidate is a name and its assignment, with an opening quote.
+NAME = f"^({_NAMED}" r"[\"'`]?(?=[^\"'`])|[A-Za-z_\-][A-Za-z0-9_\-]*=(?=[^=]))"
 # A bare value with more bits a character than this, or with letters and digits mixed, may be a secret.
 RANDOM_BITS = 3.5
 # The most frequent words of the corpus serve as dictionary: at most so many, of so many letters at least.

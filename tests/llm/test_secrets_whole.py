@@ -25,3 +25,20 @@ def test_unquoted_and_bare_keys_are_secrets_too(spark):
 
 def test_forest_of_the_rule_does_not_see_its_flags():
     assert not {"named", "assigned", "quoted", "near_harmless"} & set(secrets.UNRULED)
+
+
+def test_short_and_broken_values_behind_a_naming_word_are_proposed(spark):
+    values = {
+        'password = "Tr0ub4dor&3"': "Tr0ub4dor&3",
+        "DB_PASSWORD=hunter2 tail": "hunter2",
+        '{"api_key": "abcdefghijklmnopqr"}': "abcdefghijklmnopqr",
+        "the secret is 'a.b!c@d#e$f%'": "a.b!c@d#e$f%",
+        "Authorization: Bearer abc.def": "abc.def",
+        "MY_LONG_SERVICE_TOKEN=ab,c;d": "ab,c;d",
+        "key=a&x&y": "a&x&y",
+    }
+    table = [(i, t, "en", "p") for i, t in enumerate(values)] + [(90, "token=" + "a,&" * 100_000, "en", "p"), (91, "token" * 20_000, "en", "p")]
+    found = secrets.without_names(secrets.find_candidates(docs(spark, table), PATH))
+    got = {r["doc_id"]: r["value"] for r in found.filter("doc_id < 90").collect()}
+    assert got == dict(enumerate(values.values()))
+    assert {r["doc_id"]: len(r["value"]) for r in found.filter("doc_id >= 90").collect()} == {90: 300_000, 91: 100_000}
