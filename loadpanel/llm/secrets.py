@@ -8,6 +8,7 @@ and Spark ML; no Python runs on the executors.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -16,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loadpanel.llm.common import new_folder
-from loadpanel.scale import materialize, row_bound
+from loadpanel.scale import lookup_join, materialize, row_bound
 
 # A naming word with what assigns to it, or a word or two and a quote.
 _NAMED = (
@@ -39,8 +40,8 @@ HARMLESS = r"(?i)(example|sample|test|dummy|placeholder|changeme|mock|fixture|ve
 NAME = f"^({_NAMED}" r"[\"'`]?(?=[^\"'`])|[A-Za-z_\-][A-Za-z0-9_\-]*=(?=[^=]))"
 # A bare value with more bits a character than this, or with letters and digits mixed, may be a secret.
 RANDOM_BITS = 3.5
-# The most frequent words of the corpus serve as dictionary: at most so many, of so many letters at least.
-DICTIONARY_WORDS = 20_000
+# Words in this share of the documents, and in two at least, serve as dictionary; of so many letters at least.
+DICTIONARY_SHARE = 1e-6
 DICTIONARY_LETTERS = 3
 # The forest is fitted on at most so many labelled findings, the first in a fixed pseudo-random order.
 TRAINING_ROWS = 20_000
@@ -86,12 +87,13 @@ def without_names(found: DataFrame) -> DataFrame:
     return found.withColumns({"before": before, "value": F.substr("value", F.length(name) + 1)})
 
 
-def dictionary(docs: DataFrame, size: int = DICTIONARY_WORDS) -> DataFrame:
-    """The most frequent letter-only words of the whole corpus, a bounded table."""
+def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
+    """The letter-only words that ``share`` of all documents have, two documents at least."""
     text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    words = docs.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("word"))
+    words = docs.select(F.explode(F.array_distinct(F.split(text, r"[^\p{L}]+"))).alias("word"))
     counted = words.filter(F.length("word") >= DICTIONARY_LETTERS).groupBy("word").count()
-    return materialize(counted.orderBy(F.desc("count"), "word").limit(size).select("word"), "secret-dictionary")
+    bar = max(2, math.ceil(share * docs.count()))
+    return materialize(counted.filter(F.col("count") >= bar).select("word"), "secret-dictionary")
 
 
 def _share(pattern: str) -> Column:
@@ -102,9 +104,8 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     """The findings with the forest's inputs, one value each also for odd neighbours."""
     runs = F.regexp_extract_all(F.lower("value"), F.lit(r"([a-z]{3,})"), F.lit(1))
     # Distinct runs only: a value that thousands of documents share is looked up once.
-    known = (
-        found.select("value").distinct().select("value", F.explode(runs).alias("word")).join(F.broadcast(words), "word")
-    )
+    parts = found.select("value").distinct().select("value", F.explode(runs).alias("word"))
+    known = lookup_join(parts, words, ["word"], spread="value")
     covered = materialize(known.groupBy("value").agg(F.sum(F.length("word")).alias("covered")), "secret-coverage")
     joined = found.join(F.broadcast(covered) if (row_bound(covered) or 0) <= 100_000 else covered, "value", "left")
     flag = lambda c: c.cast("double")

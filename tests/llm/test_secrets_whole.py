@@ -42,3 +42,11 @@ def test_short_and_broken_values_behind_a_naming_word_are_proposed(spark):
     got = {r["doc_id"]: r["value"] for r in found.filter("doc_id < 90").collect()}
     assert got == dict(enumerate(values.values()))
     assert {r["doc_id"]: len(r["value"]) for r in found.filter("doc_id >= 90").collect()} == {90: 300_000, 91: 100_000}
+
+
+def test_dictionary_counts_documents_and_has_no_fixed_size(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [f"{a}{b}{c}q{d}" for a in letters for b in letters for c in letters for d in "xy"]
+    table = [(i, " ".join(words), "en", "p") for i in range(2)] + [(2, "once " * 50, "en", "p")]
+    known = {r["word"] for r in secrets.dictionary(docs(spark, table)).collect()}
+    assert len(words) > 20_000 and known == set(words)
