@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loadpanel.llm import bpe, exact_dedup, line_templates, mixing, neighbours, ngram_join, quality, secrets, suffix_dedup, warc
+from loadpanel.llm import (
+    bpe,
+    divergence,
+    exact_dedup,
+    html_text,
+    line_templates,
+    mixing,
+    neighbours,
+    ngram_join,
+    quality,
+    ranked_search,
+    secrets,
+    suffix_dedup,
+    warc,
+)
 from loadpanel.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,3 +193,65 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 50-byte strings that a document with a smaller id has."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@query()
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+_LETTERS = r"regexp_extract_all({}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      {_LETTERS.format(_LOWER)} AS terms FROM documents),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    t AS (SELECT lang, source, row, unnest(terms) AS term FROM d),
+    k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT row) >= 30),
+    o AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+    c AS (SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN o USING (lang, source, term)),
+    a AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+    v AS (SELECT lang, count(*) AS v FROM k GROUP BY ALL),
+    p AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM c JOIN v USING (lang)),
+    q AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM a JOIN v USING (lang)),
+    f AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+          FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+    r AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f.value, 0) AS value
+          FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+               LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source
+          UNION ALL
+          SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p > q),
+    s AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+    SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM s WHERE part = 'pair' OR rank <= 50
+    """
+)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, pair by pair, and by which terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS.format(_LOWER)} AS terms FROM documents),
+    e AS (SELECT row, doc_id, len(terms) AS n, terms FROM d WHERE len(terms) > 0),
+    c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM e),
+    t AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM e) GROUP BY ALL),
+    w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+          FROM (SELECT term, count(*) AS df FROM t GROUP BY term), c),
+    i AS (SELECT item_id, unnest({_WORDS.format(_LOWER)}) AS term FROM benchmark),
+    s AS (SELECT item_id, doc_id, row,
+                 sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total))))::BIGINT AS score
+          FROM i JOIN t USING (term) JOIN w USING (term) JOIN e USING (row), c GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 20
+    """
+)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty documents that score highest for every item of the benchmark."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
