@@ -33,7 +33,7 @@ BROADCAST_BYTES = 64 << 20
 # Terms that a task holds before it hands on or looks up what it has counted, and dense slots that it holds.
 HELD_TERMS, HELD_SLOTS = 400_000, 8_000_000
 # Counts of a block of slots by all sources of its language.
-BLOCK_COUNTS = 2_000_000
+BLOCK_COUNTS = 32_768
 # Parts in p, and what is added to every count.
 PARTS, ADDED = 1_000_000_000, 5
 
@@ -157,7 +157,7 @@ def document_frequency(docs: DataFrame, min_docs: int) -> DataFrame:
 
         def handed() -> Iterator[pa.RecordBatch]:
             for lang, counts in seen.items():
-                columns = [pa.array([lang] * len(counts)), pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
+                columns = [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "n"])
             seen.clear()
 
@@ -241,8 +241,8 @@ def count_slots(docs: DataFrame, shards: DataFrame) -> DataFrame:
                     which = np.searchsorted(own.base[own.shards], at, "right") - 1
                     shard = own.shards[which]
                     columns = [
-                        pa.array([lang] * len(at)),
-                        pa.array([source] * len(at)),
+                        pa.array([lang] * len(at), pa.string()),
+                        pa.array([source] * len(at), pa.string()),
                         pa.array(shard, pa.int32()),
                         pa.array(at - own.base[shard], pa.int32()),
                         pa.array(n[at]),
