@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loadpanel.models.base import GROUP, ResidualQuantiles
 from loadpanel.operators.folds import FoldPlan
@@ -33,37 +33,9 @@ class RidgeForecaster(ResidualQuantiles):
         train = rows.where("first_train_fold is not null").dropna(subset=variables)
         # Sums of squares of raw values lose digits; any fixed shift per entity
         # leaves slopes and predictions as they are.
-        shift = materialize(
-            train.groupBy("entity_id").agg(
-                *[F.avg(c).alias(f"_m{i}") for i, c in enumerate(variables)]
-            ),
-            "ridge-shift",
-        )
-        centred = lookup_join(train, shift, ["entity_id"], spread="ts_utc").selectExpr(
-            "entity_id",
-            "first_train_fold",
-            # No value is null any more; saying so spares a null check per product.
-            *[f"coalesce(`{c}` - _m{i}, 0d) as _z{i}" for i, c in enumerate(variables)],
-        )
-        z = range(len(variables))
-        sums = [f"sum(_z{i})" for i in z] + [f"sum(_z{i} * _z{j})" for i in z for j in z if i <= j]
-        partial = centred.groupBy("entity_id", "first_train_fold").agg(
-            F.expr("cast(count(*) as double) as n"), F.expr(f"array({', '.join(sums)}) as moments")
-        )
-        # At most n_folds rows per entity from here on.
-        few = is_small(shift)
-        centre = shift.selectExpr("entity_id", f"array({', '.join(f'_m{i}' for i in z)}) as centre")
-        solved = (
-            lookup_join(partial, centre, ["entity_id"], spread="first_train_fold", small=few)
-            .groupBy("entity_id")
-            .applyInPandas(
-                _solver(len(self.features), self.alpha, plan.n_folds),
-                "entity_id string, fold long, beta array<double>",
-            )
-        )
-        # Whole-stage code generation stops at 100 columns by default.
-        with setting(rows.sparkSession, "spark.sql.codegen.maxFields", str(10 * len(sums))):
-            self.coefficients = materialize(solved, "ridge-coefficients")
+        centre = centres(train, variables)
+        partial = moment_sums(train, centre, variables, ["entity_id", "first_train_fold"])
+        self.coefficients = solve_folds(partial, centre, len(self.features), self.alpha, plan.n_folds)
         return self
 
     def predict(self, rows: DataFrame) -> DataFrame:
@@ -78,6 +50,53 @@ class RidgeForecaster(ResidualQuantiles):
         )
 
 
+def centres(rows: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """entity_id and the mean of each variable, as an array."""
+    means = [F.avg(c) for c in variables]
+    return materialize(rows.groupBy("entity_id").agg(F.array(*means).alias("centre")), "ridge-centre")
+
+
+def _number_of_sums(n_variables: int) -> int:
+    return n_variables + n_variables * (n_variables + 1) // 2
+
+
+def moment_sums(rows: DataFrame, centre: DataFrame, variables: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """keys, n and moments: sums of the centred variables and of their products; combined map-side."""
+    shifted = lookup_join(rows, centre, ["entity_id"], spread="ts_utc").selectExpr(
+        *keys,
+        # No value is null any more; saying so spares a null check per product.
+        *[f"coalesce(`{c}` - centre[{i}], 0d) as _z{i}" for i, c in enumerate(variables)],
+    )
+    z = range(len(variables))
+    sums = [f"sum(_z{i})" for i in z] + [f"sum(_z{i} * _z{j})" for i in z for j in z if i <= j]
+    return shifted.groupBy(*keys).agg(
+        F.expr("cast(count(*) as double) as n"), F.expr(f"array({', '.join(sums)}) as moments")
+    )
+
+
+def added_moments(n_variables: int) -> Column:
+    """Sum of arrays of moments, value by value."""
+    return F.array(*[F.sum(F.col("moments")[i]) for i in range(_number_of_sums(n_variables))])
+
+
+def solve_folds(partial: DataFrame, centre: DataFrame, p: int, alpha: float, n_folds: int) -> DataFrame:
+    """Coefficients of every (entity, fold) from (entity_id, first_train_fold, n, moments)."""
+    # At most n_folds rows per entity from here on.
+    few = is_small(centre)
+    solved = (
+        lookup_join(partial, centre, ["entity_id"], spread="first_train_fold", small=few)
+        .groupBy("entity_id")
+        .applyInPandas(_solver(p, alpha, n_folds), "entity_id string, fold long, beta array<double>")
+    )
+    # Whole-stage code generation stops at 100 columns by default.
+    with wide_codegen(partial.sparkSession, p + 1):
+        return materialize(solved, "ridge-coefficients")
+
+
+def wide_codegen(spark: SparkSession, n_variables: int):
+    return setting(spark, "spark.sql.codegen.maxFields", str(10 * _number_of_sums(n_variables)))
+
+
 def _solver(p: int, alpha: float, n_folds: int):
     """Per entity: partial sums by first fold -> (entity, fold, intercept and slopes)."""
     upper = np.triu_indices(p + 1)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from loadpanel.functions.columns import DAY_US, micros
 from loadpanel.functions.quantiles import exact_quantiles
+from loadpanel.functions.sketches import sketched_quantiles
 from loadpanel.scale import key_filter, materialize, row_bound
 from loadpanel.schema import EmptyColumn, KeyViolation
 
@@ -104,11 +105,13 @@ def first_missing_hours(obs: DataFrame, have: str, lack: str, n: int = 20) -> Da
 
 
 def value_distribution(
-    obs: DataFrame, series: str = "D", probs: Mapping[str, float] = DISTRIBUTION
+    obs: DataFrame, series: str = "D", probs: Mapping[str, float] = DISTRIBUTION, sketch: int | None = None
 ) -> DataFrame:
-    """Per entity: minimum, exact quantiles and maximum."""
+    """Per entity: minimum, quantiles and maximum; exact, unless a ``sketch`` of that size is asked for."""
     points = {"min_val": 0.0, **probs, "max_val": 1.0}
     rows = obs.where(F.col("series_type") == series)
+    if sketch is not None:
+        return sketched_quantiles(rows, ["entity_id"], "value", points, sketch)
     return exact_quantiles(rows, ["entity_id"], "value", points, total=row_bound(obs))
 
 

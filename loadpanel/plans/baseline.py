@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loadpanel.functions.columns import abs_error, relative_error
 from loadpanel.functions.quantiles import exact_quantiles
+from loadpanel.functions.sketches import sketched_quantiles
 from loadpanel.operators.plausibility import MAX_RELATIVE_ERROR, pair, plausible
 from loadpanel.scale import materialize, row_bound
 
@@ -22,7 +23,8 @@ def paired_forecasts(
     return pair(plausible(obs, medians=medians), max_rel_err=max_rel_err)
 
 
-def _errors(pairs: DataFrame) -> DataFrame:
+def errors(pairs: DataFrame) -> DataFrame:
+    """Absolute and percentage error of every pair."""
     actual, forecast = F.col("actual"), F.col("forecast")
     return pairs.select(
         "entity_id",
@@ -41,21 +43,26 @@ def _score(errors: DataFrame) -> DataFrame:
 
 def baseline_score(pairs: DataFrame) -> DataFrame:
     """Per entity: hours, mean absolute error, mean and median percentage error."""
-    errors = materialize(_errors(pairs), "baseline-errors")
+    found = materialize(errors(pairs), "baseline-errors")
     medians = exact_quantiles(
-        errors, ["entity_id"], "ape", {"m": 0.5}, total=row_bound(errors)
+        found, ["entity_id"], "ape", {"m": 0.5}, total=row_bound(found)
     ).select("entity_id", F.round(F.col("m") * 100, 2).alias("median_ape_pct"))
-    return _score(errors).join(medians, "entity_id").orderBy("mape_pct", "entity_id")
+    return _score(found).join(medians, "entity_id").orderBy("mape_pct", "entity_id")
 
 
-def error_quantiles(pairs: DataFrame, probs: Mapping[str, float] = ERROR_POINTS) -> DataFrame:
-    """Per entity: quantiles of the percentage error."""
-    errors = materialize(_errors(pairs), "baseline-errors")
-    points = exact_quantiles(errors, ["entity_id"], "ape", probs, total=row_bound(errors))
+def error_quantiles(
+    pairs: DataFrame, probs: Mapping[str, float] = ERROR_POINTS, sketch: int | None = None
+) -> DataFrame:
+    """Per entity: quantiles of the percentage error; exact, unless a ``sketch`` of that size is asked for."""
+    if sketch is not None:
+        points = sketched_quantiles(errors(pairs), ["entity_id"], "ape", probs, sketch)
+    else:
+        found = materialize(errors(pairs), "baseline-errors")
+        points = exact_quantiles(found, ["entity_id"], "ape", probs, total=row_bound(found))
     rounded = [F.round(F.col(name) * 100, 2).alias(name) for name in probs]
     return points.select("entity_id", *rounded).orderBy(next(iter(probs)), "entity_id")
 
 
 def raw_baseline_score(obs: DataFrame) -> DataFrame:
     """The score before any plausibility filter; only positive actuals."""
-    return _score(_errors(pair(obs).where("actual > 0"))).orderBy("mape_pct", "entity_id")
+    return _score(errors(pair(obs).where("actual > 0"))).orderBy("mape_pct", "entity_id")

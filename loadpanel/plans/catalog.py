@@ -12,9 +12,17 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loadpanel.models import BoostedTreesForecaster, Forecaster, MeanForecaster, RidgeForecaster
+from loadpanel.models import (
+    BoostedTreesForecaster,
+    Forecaster,
+    MeanForecaster,
+    QuantileTreesForecaster,
+    RidgeForecaster,
+)
+from loadpanel.functions.columns import HOUR_US, micros
+from loadpanel.functions.sketches import K, merged, monthly_sketches, quantiles_of, rank_error, sketched_quantiles
+from loadpanel.operators import bitmaps, lags, plausibility, quality, reshape
 from loadpanel.operators import features as feat
-from loadpanel.operators import lags, plausibility, quality, reshape
 from loadpanel.operators.folds import FoldPlan, assign_folds, fold_bounds, history
 from loadpanel.plans import baseline
 from loadpanel.plans.backtest import (
@@ -25,6 +33,7 @@ from loadpanel.plans.backtest import (
     model_matrix,
     skill,
 )
+from loadpanel.plans.rolling import RollingFit
 from loadpanel.scale import materialize, scratch_dir
 from loadpanel.schema import COVARIATE_COLUMNS, KEYS, MODEL_FEATURES, OBSERVATION_KEYS
 from loadpanel.sources import (
@@ -35,6 +44,8 @@ from loadpanel.sources import (
     replace_table,
     scan_entity,
 )
+from loadpanel.sources.append import append_table
+from loadpanel.sources.buckets import store_bucketed
 from loadpanel.sources.driver_tables import (
     covariates,
     daily_obs,
@@ -145,6 +156,32 @@ def store_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_table(obs, path, keys=OBSERVATION_KEYS, partition_by="series_type")
 
 
+@query
+def append_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observation table, stored up to 1997 and then appended to year by year, read back."""
+    obs = _daily(spark, sf_dir).select(*OBSERVATION_KEYS, "value")
+    path = _table_path(spark, "observations")
+    year = F.year("ts_utc")
+    replace_table(obs.where(year <= 1997), path, keys=OBSERVATION_KEYS, partition_by="series_type")
+    last = obs.agg(F.max(year)).first()[0] or 1997
+    for y in range(1998, last + 1):
+        append_table(obs.where(year == y), path, OBSERVATION_KEYS, partition_by="series_type")
+    return spark.read.schema(obs.schema).parquet(path).select(*obs.columns)
+
+
+@query
+def features_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table from tables in buckets by (entity, hour): its joins move no rows."""
+    obs, cov = _daily(spark, sf_dir).select(*OBSERVATION_KEYS, "value"), covariates(spark, sf_dir)
+    medians = plausibility.entity_medians(obs)
+    folder = _table_path(spark, "buckets")
+    tables = [
+        store_bucketed(df, f"{name}_{uuid.uuid4().hex}", f"{folder}/{name}", buckets=8)
+        for name, df in (("observations", obs), ("covariates", cov))
+    ]
+    return feat.build_features(*tables, zones(spark), medians=medians)
+
+
 @query
 def store_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table, stored as derived table and read back by a narrow scan."""
@@ -233,6 +270,49 @@ def first_missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.first_missing_hours(hourly_obs(spark, sf_dir), "D", "DF")
 
 
+@query
+def coverage_counts_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmaps.coverage_by_bitmaps(hourly_obs(spark, sf_dir))
+
+
+@query
+def missing_forecast_hours_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmaps.missing_by_bitmaps(hourly_obs(spark, sf_dir), "D", "DF")
+
+
+@query
+def missing_actual_hours_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmaps.missing_by_bitmaps(hourly_obs(spark, sf_dir), "DF", "D")
+
+
+def _ranks_hold(rows: DataFrame, value: str, found: DataFrame, probs: dict[str, float]) -> DataFrame:
+    """Per entity: rows, and whether the rank of every found point is within the sketch's bound of the wanted one."""
+    held = rows.where(F.col(value).isNotNull()).join(F.broadcast(found), "entity_id")
+    off = {
+        name: F.greatest(p - F.avg((F.col(value) <= F.col(name)).cast("int")), F.avg((F.col(value) < F.col(name)).cast("int")) - p)
+        for name, p in probs.items()
+    }
+    return held.groupBy("entity_id").agg(F.count("*").alias("n"), *[(o <= rank_error(K)).alias(name) for name, o in off.items()])
+
+
+@query
+def value_distribution_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged monthly sketches: ends and rows are exact, every quantile's rank within the stated bound."""
+    obs = _daily(spark, sf_dir).where("series_type = 'D'")
+    months = materialize(monthly_sketches(obs, "value"), "monthly-sketches")
+    points = {"min_val": 0.0, **quality.DISTRIBUTION, "max_val": 1.0}
+    found = materialize(quantiles_of(merged(months), points), "sketched")
+    return _ranks_hold(obs, "value", found, quality.DISTRIBUTION).join(found.select("entity_id", "min_val", "max_val"), "entity_id")
+
+
+@query
+def baseline_error_quantiles_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of the published forecast's error from a sketch, held against the exact ranks."""
+    errors = stored(baseline.errors(baseline.paired_forecasts(_daily(spark, sf_dir), max_rel_err=None)), "errors")
+    found = materialize(sketched_quantiles(errors, ["entity_id"], "ape", baseline.ERROR_POINTS), "sketched")
+    return _ranks_hold(errors, "ape", found, baseline.ERROR_POINTS)
+
+
 @query
 def value_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     spread = quality.value_distribution(_daily(spark, sf_dir))
@@ -500,7 +580,14 @@ def backtest_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def boosted_trees() -> BoostedTreesForecaster:
     """Trees of the ladder, at the reference's settings."""
-    return BoostedTreesForecaster()
+    return BoostedTreesForecaster(leaves=63)
+
+
+@query
+def backtest_two_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two boosting steps at half rate, each a tree of one split on the weekend, the month or the entity's level."""
+    steps = BoostedTreesForecaster(n_trees=2, learning_rate=0.5, min_rows=1, leaves=2, name="two_steps")
+    return _scored(_backtest(spark, sf_dir, STUMP).run(steps))
 
 
 @query
@@ -538,6 +625,32 @@ def backtest_mean_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(Backtest(demand, [], plan=HOURLY_PLAN).run(MeanForecaster()))
 
 
+def _extended(spark: SparkSession, sf_dir: str, inputs, days: int = 45) -> tuple[Backtest, RollingFit]:
+    """A backtest, and its training sums from a history that ended ``days`` earlier, carried on in three steps."""
+    lagged = materialize(_lagged(spark, sf_dir), "lagged")
+    whole = Backtest(lagged, inputs)
+    left = micros("last_ts") - micros("ts_utc")
+    dated = lagged.join(F.broadcast(whole.history), "entity_id").withColumn("_left", F.call_function("div", left, F.lit(24 * HOUR_US)))
+    state = RollingFit.start(dated.where(F.col("_left") >= days), inputs)
+    for first in range(days, 0, -15):
+        state = state.extend(dated.where((F.col("_left") < first) & (F.col("_left") >= first - 15)))
+    return whole, state
+
+
+@query
+def backtest_mean_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean model of every fold from training sums that were carried on day by day."""
+    whole, state = _extended(spark, sf_dir, MODEL_FEATURES)
+    return _scored(whole.run(state.mean()))
+
+
+@query
+def backtest_ridge_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ridge of every fold from the same."""
+    whole, state = _extended(spark, sf_dir, ["cloud_pct", "temp_c"])
+    return _scored(whole.run(state.ridge()))
+
+
 @query
 def fold_summary_(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = fold_summary(_backtest(spark, sf_dir).run(MeanForecaster()))
@@ -617,3 +730,17 @@ def quantile_forecast_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.groupBy("entity_id", "fold").agg(
         F.count("*").alias("n_test"), F.avg(inside.cast("int")).alias("share_inside")
     )
+
+
+@query
+def quantile_forecast_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles that trees learn on 17 inputs: share of test rows inside the 5 to 95 % band, and its mean width."""
+    shared = _backtest(spark, sf_dir)
+    model = shared.fitted(QuantileTreesForecaster())
+    q = model.predict_quantiles(shared.test_rows(), [0.05, 0.95])
+    low, high = F.col("quantiles")[0], F.col("quantiles")[1]
+    return q.groupBy("entity_id", "fold").agg(
+        F.count("*").alias("n_test"),
+        F.avg(F.col("demand_mw").between(low, high).cast("int")).alias("share_inside"),
+        F.avg((high - low) / F.col("demand_mw")).alias("mean_width"),
+    )

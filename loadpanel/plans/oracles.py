@@ -269,6 +269,41 @@ stump_pred as (
                       then below else above end * mean as prediction
   from test join mean_fit using (entity_id, fold) join best using (fold))"""
 
+
+
+def boost_step(i: int, rate: float) -> str:
+    """Table step_{i}: the rows of step_{i - 1} with their prediction p moved towards y by the best cut of what is left."""
+    return f"""inputs_{i} as (
+  select fold, 'w' as input, w as v, y - p as r from step_{i - 1} where kind = 'train' union all
+  select fold, 'm', m, y - p from step_{i - 1} where kind = 'train' union all
+  select fold, 'l', l, y - p from step_{i - 1} where kind = 'train'),
+sums_{i} as (select fold, input, v, count(*) as n, sum(r) as s from inputs_{i} group by all),
+cuts_{i} as (
+  select *, sum(n) over up as n_left, sum(s) over up as s_left, lead(v) over (partition by fold, input order by v) as next_v,
+         sum(n) over (partition by fold, input) as n_all, sum(s) over (partition by fold, input) as s_all
+  from sums_{i} window up as (partition by fold, input order by v)),
+best_{i} as (
+  select fold, input, (v + next_v) / 2 as cut, s_left / n_left as below, (s_all - s_left) / (n_all - n_left) as above
+  from cuts_{i} where next_v is not null
+  qualify row_number() over (partition by fold order by s_left * s_left / n_left
+                             + (s_all - s_left) * (s_all - s_left) / (n_all - n_left) desc) = 1),
+step_{i} as (
+  select step_{i - 1}.* replace (p + {rate} * case when (case input when 'w' then w when 'm' then m else l end) <= cut
+                                                   then below else above end as p)
+  from step_{i - 1} join best_{i} using (fold))"""
+
+
+TWO_STEPS = f"""step_0 as (
+  select *, avg(y) filter (where kind = 'train') over (partition by fold) as p from (
+    select 'train' as kind, entity_id, ts_utc, fold, demand_mw, mean, demand_mw / mean as y, cast(is_weekend as double) as w,
+           cast(month_local as double) as m, mean as l from train join mean_fit using (entity_id, fold)
+    union all
+    select 'test', entity_id, ts_utc, fold, demand_mw, mean, demand_mw / mean, cast(is_weekend as double),
+           cast(month_local as double), mean from test join mean_fit using (entity_id, fold))),
+{boost_step(1, 0.5)},
+{boost_step(2, 0.5)},
+two_steps_pred as (select entity_id, ts_utc, fold, demand_mw, p * mean as prediction from step_2 where kind = 'test')"""
+
 ASSIGNED = """select entity_id, ts_utc,
        (select max(fold) from folds f where f.entity_id = x.entity_id
          and x.ts_utc > f.test_start and x.ts_utc <= f.test_end) as test_fold,
@@ -351,7 +386,24 @@ def _corr(column: str) -> str:
     return f"round(corr(demand_mw, {column}), 3) as c_{column.removeprefix('lag_')}"
 
 
+# Queries that give by another way what the SQL of another query says.
+SAME_ROWS = {
+    "append_observations": "store_observations",
+    "features_bucketed": "features",
+    "coverage_counts_bitmap": "coverage_counts",
+    "missing_forecast_hours_bitmap": "missing_forecast_hours",
+    "missing_actual_hours_bitmap": "missing_actual_hours",
+    "backtest_mean_extended": "backtest_mean",
+    "backtest_ridge_extended": "backtest_ridge_2f",
+}
+
+
 def all_oracles() -> dict[str, str]:
+    found = _oracles()
+    return {**found, **{name: found[other] for name, other in SAME_ROWS.items()}}
+
+
+def _oracles() -> dict[str, str]:
     small = ["hdd", "cdd", "hour_local", "lag_48h", "lag_168h"]
     one, two = ["lag_48h"], ["cloud_pct", "temp_c"]
     every = folds("lagged")
@@ -405,6 +457,14 @@ from present group by entity_id""",
             f"""select * from ({_missing('D', 'DF')})
 qualify row_number() over (partition by entity_id order by ts_utc) <= 20""",
         ),
+        "value_distribution_sketch": sql(
+            OBS_D,
+            """select entity_id, count(*) as n, true as p001, true as median_val, true as p999, min(value) as min_val,
+       max(value) as max_val from obs where series_type = 'D' group by entity_id""",
+        ),
+        "baseline_error_quantiles_sketch": sql(
+            *D_PAIRS, "select entity_id, count(*) as n, true as p50, true as p90, true as p99 from pairs group by entity_id"
+        ),
         "value_distribution": sql(
             OBS_D,
             """select entity_id, min(value) as min_val, round(quantile_cont(value, 0.001), 4) as p001,
@@ -588,6 +648,15 @@ where {_complete(MODEL_INPUTS)}""",
             scores("stump", "stump_pred"),
             rounded("stump"),
         ),
+        "backtest_two_steps": sql(
+            *D_LAGGED,
+            every,
+            splits(["is_weekend", "month_local"]),
+            MEAN_MODEL,
+            TWO_STEPS,
+            scores("two_steps", "two_steps_pred"),
+            rounded("two_steps"),
+        ),
         "fold_sizes": sql(
             *D_LAGGED,
             every,
