@@ -46,6 +46,7 @@ from loadpanel.sources import (
 )
 from loadpanel.sources.append import append_table
 from loadpanel.sources.buckets import store_bucketed
+from loadpanel.sources.json_splits import read_rowwise_split
 from loadpanel.sources.driver_tables import (
     covariates,
     daily_obs,
@@ -118,6 +119,20 @@ def ingest_rowwise_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_rowwise(documents)
 
 
+@query
+def ingest_rowwise_json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of many objects each, written and read back by byte ranges."""
+    record = F.struct(
+        F.date_format("ts_utc", "yyyy-MM-dd'T'HH").alias("period"),
+        F.col("entity_id").alias("respondent"),
+        F.col("series_type").alias("type"),
+        F.col("value").cast("string").alias("value"),
+    )
+    path = _table_path(spark, "documents")
+    hourly_obs(spark, sf_dir).select(F.to_json(record)).write.option("lineSep", ",\n").text(path)
+    return read_rowwise_split(spark, path)
+
+
 @query
 def ingest_columnar_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columnar JSON texts, one per entity and month, to long covariates."""

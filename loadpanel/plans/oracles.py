@@ -388,6 +388,7 @@ def _corr(column: str) -> str:
 
 # Queries that give by another way what the SQL of another query says.
 SAME_ROWS = {
+    "ingest_rowwise_json_split": "ingest_rowwise_json",
     "append_observations": "store_observations",
     "features_bucketed": "features",
     "coverage_counts_bitmap": "coverage_counts",
