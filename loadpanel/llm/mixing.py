@@ -95,7 +95,11 @@ def _rate(cap: int) -> Column:
 
 
 def multipliers(groups: DataFrame, sources: DataFrame, cap: int = CAP) -> DataFrame:
-    """One multiplier per source: Newton steps on the dual, by bisection where a step leaves the bracket."""
+    """One multiplier per source: Newton steps on the dual, by bisection where a step leaves the bracket.
+
+    Raises if a source has not settled after ``MAX_STEPS``, some twenty more than it takes to halve a bracket of
+    doubles to nothing.
+    """
     size, target = F.col("source_size").cast("double"), F.col("target")
     idle = (size == 0) | (target <= 0)
     state = sources.select(
@@ -124,7 +128,9 @@ def multipliers(groups: DataFrame, sources: DataFrame, cap: int = CAP) -> DataFr
             .agg(F.sum(words.cast(EXACT)).cast("double").alias("g"), F.sum(slope.cast(EXACT)).cast("double").alias("h"))
         )
         off = F.col("g") - F.col("target")
-        settled = F.col("all_capped") | F.col("g").isNull() | (F.abs(off) <= F.col("target") * TOLERANCE)
+        # A bracket that doubles cannot halve any more is as near as they come.
+        closed = F.col("hi") - F.col("lo") <= 4e-16 * F.greatest(F.abs("lo"), F.abs("hi"))
+        settled = F.col("all_capped") | F.col("g").isNull() | (F.abs(off) <= F.col("target") * TOLERANCE) | closed
         lo, hi = F.when(off < 0, F.col("lam")).otherwise(F.col("lo")), F.when(off > 0, F.col("lam")).otherwise(F.col("hi"))
         step = F.when(F.col("h") > 0, F.col("lam") - off / F.nullif(F.col("h"), F.lit(0.0)))
         inside = step.isNotNull() & (step > F.col("lo2")) & (step < F.col("hi2"))
@@ -145,6 +151,8 @@ def multipliers(groups: DataFrame, sources: DataFrame, cap: int = CAP) -> DataFr
         if state.filter("not settled").isEmpty():
             break
         state = state.drop("settled")
+    else:
+        raise RuntimeError(f"{MAX_STEPS} steps did not settle every source's rate")
     return state.select("skey", "source_size", "target", "mean", "all_capped", "lam")
 
 

@@ -101,3 +101,12 @@ def test_a_thousand_equal_rows(spark, ranked):
 def test_no_rows(spark):
     assert rows(mixing.mix(docs(spark, []))) == []
     assert rows(mixing.mixed_rows(docs(spark, []))) == []
+
+
+def test_rates_that_do_not_settle_raise(spark, monkeypatch):
+    """Nothing unsettled is used silently."""
+    table = [(i, "word " * (1 + i % 7), "ab"[i % 2]) for i in range(40)]
+    frame = spark.createDataFrame(table, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    with pytest.raises(RuntimeError, match="settle"):
+        mixing.mix(frame)
