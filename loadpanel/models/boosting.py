@@ -58,8 +58,11 @@ class Layout:
         """Places of a row's bins, one column per input."""
         return bins.astype(np.int64) + self.starts[:-1]
 
-    def sums(self, flat: np.ndarray, gradients: np.ndarray) -> np.ndarray:
-        """Sum of gradients and number of rows per bin: whole numbers, exact."""
+    def sums(self, flat: np.ndarray, gradients: np.ndarray, whole: int = 2**53) -> np.ndarray:
+        """Sum of gradients and number of rows per bin: whole numbers, exact. As doubles if ``whole``, a bound of them, allows."""
+        if whole < 2**53:
+            at, own = flat.ravel(), np.repeat(gradients.astype(float), flat.shape[1])
+            return np.stack([np.bincount(at, own, self.n), np.bincount(at, minlength=self.n)])
         out = np.zeros((2, self.n), np.int64)
         largest = int(np.abs(gradients).max(initial=0)) + 1
         step = max(1, min(len(flat), 2**53 // largest))  # sums below 2**53 are exact in doubles
@@ -79,16 +82,20 @@ def best_cuts(layout: Layout, sums: np.ndarray, min_rows: int) -> tuple[np.ndarr
     """
     up = np.cumsum(sums, axis=2)
     ends = up[:, :, layout.starts[1:] - 1]
-    before = np.concatenate([np.zeros((*sums.shape[:2], 1), np.int64), ends[:, :, :-1]], axis=2)
+    before = np.concatenate([np.zeros((*sums.shape[:2], 1), sums.dtype), ends[:, :, :-1]], axis=2)
     total = ends[:, :, 0]
-    left = up - np.repeat(before, layout.sizes, axis=2)
-    g, n = left[:, 0].astype(float), left[:, 1].astype(float)
-    g_all, n_all = total[:, :1].astype(float), total[:, 1:].astype(float)
+    left = up - before.take(layout.input, axis=2)
+    g, n = left[:, 0].astype(float, copy=False), left[:, 1].astype(float, copy=False)
+    g_all, n_all = total[:, :1].astype(float, copy=False), total[:, 1:].astype(float, copy=False)
     more, m = g_all - g, n_all - n
     least = max(min_rows, 1)  # nothing is to the right of the last bin
-    fits = (n >= least) & (m >= least)
-    gain = g * g / np.maximum(n, 1) + more * more / np.maximum(m, 1) - g_all * g_all / n_all
-    gain[~fits] = -np.inf
+    gain = g * g
+    gain /= np.maximum(n, 1)
+    more *= more
+    more /= np.maximum(m, 1)
+    gain += more
+    gain -= g_all * g_all / n_all
+    gain[np.minimum(n, m) < least] = -np.inf
     at = gain.argmax(axis=1)
     rows = np.arange(len(sums))
     return gain[rows, at], at, left[rows, 0, at], left[rows, 1, at]
@@ -242,7 +249,9 @@ def boost(bins: np.ndarray, y: np.ndarray, sizes: Sequence[int], settings: Setti
         g = gradients(y, predicted, q)
         rows = {0: np.arange(len(y))}
         growing = Growing(layout, settings)
-        growing.start(layout.sums(flat, g))
+        # Rows by the largest gradient bound every sum, so a tree has one kind of sums throughout.
+        whole = len(y) * (int(np.abs(g).max(initial=0)) + 1)
+        growing.start(layout.sums(flat, g, whole))
         while wanted := growing.replay()[1]:
             made, sums = growing.expand(wanted), []
             for parent, small, other in made:
@@ -250,7 +259,7 @@ def boost(bins: np.ndarray, y: np.ndarray, sizes: Sequence[int], settings: Setti
                 goes_left = flat[own, layout.input[cut]] <= cut
                 a, b = growing.nodes[parent].children
                 rows[a], rows[b] = own[goes_left], own[~goes_left]
-                sums.append(layout.sums(flat[rows[small]], g[rows[small]]))
+                sums.append(layout.sums(flat[rows[small]], g[rows[small]], whole))
             growing.give(made, sums)
         tree, order = growing.tree()
         if len(order) == 1 and q is None:
@@ -293,20 +302,22 @@ def fit(rows: DataFrame, sizes: dict[int, Sequence[int]], settings: Settings, n_
     large = [k for k, n in n_rows.items() if n > TASK_ROWS]
     model: Model = {}
     if here:
-        model |= _fit_in_tasks(rows.filter(F.col("fit").isin(here)), sizes, settings)
+        model |= _fit_in_tasks(rows.filter(F.col("fit").isin(here)), sizes, settings, len(here))
     if large:
         model |= _fit_by_rounds(rows.filter(F.col("fit").isin(large)), {k: sizes[k] for k in large}, settings)
     return model
 
 
-def _fit_in_tasks(rows: DataFrame, sizes: dict[int, Sequence[int]], settings: Settings) -> Model:
+def _fit_in_tasks(rows: DataFrame, sizes: dict[int, Sequence[int]], settings: Settings, n_fits: int) -> Model:
     def one(table: pa.Table) -> pa.Table:
         k = table.column("fit")[0].as_py()
         bins = _unpacked(table.column("bins").combine_chunks(), len(sizes[k]))
         found = boost(bins, table.column("y").to_numpy(), sizes[k], settings)
         return pa.table({"fit": pa.array([k], pa.int32()), "model": pa.array([pickle.dumps(found)], pa.binary())})
 
-    found = rows.groupBy("fit").applyInArrow(one, "fit int, model binary").collect()
+    # A number of partitions that is asked for stays: the rows are few, and each fit is a task's work.
+    apart = rows.repartitionByRange(max(1, n_fits), "fit")
+    found = apart.groupBy("fit").applyInArrow(one, "fit int, model binary").collect()
     return {r["fit"]: pickle.loads(r["model"]) for r in found}
 
 
