@@ -42,7 +42,7 @@ def lower_ascii(column: str | Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` has about ``limit`` bytes in each, one row at least."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))

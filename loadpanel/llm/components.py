@@ -1,4 +1,8 @@
-"""Connected components by alternating large and small stars."""
+"""Connected components by alternating large and small stars.
+
+Repeated edges, edges both ways and edges of a node with itself change nothing; a node that only its own edge names is
+in no component. Nodes are never null here. Without edges, no rows.
+"""
 
 from __future__ import annotations
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from loadpanel.llm.common import text_bytes
-from loadpanel.scale import materialize
+from loadpanel.scale import is_small, materialize
 
 # Words (or bytes, lines) of typical text that every ratio is smoothed with, so that short texts look typical.
 PRIOR = 40.0
@@ -76,6 +76,10 @@ def _statistics(texts: pd.Series) -> pd.Series:
     return texts.map(document_statistics)
 
 
+# Ids of labelled documents that are broadcast: a number each, some 20 MB.
+LABELS_SENT = 1_000_000
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """The quarter of the documents that no label is learnt from; a null id is in it never."""
     rest = F.pmod(F.crc32(F.col(doc_id).cast("long").cast("string").cast("binary")), F.lit(4))
@@ -190,7 +194,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
 
 
 def accepted_rows(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that reach ``threshold``, with their columns."""
-    model = train(materialize(with_statistics(docs), "quality-statistics"), labels)
+    """The rows of ``docs`` that reach ``threshold``, with their columns.
+
+    While the labels are few, only labelled texts are looked at for the fit; texts are never shuffled for it.
+    """
+    marks = materialize(labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality"), "quality-labels")
+    labelled = docs
+    if is_small(marks, LABELS_SENT):
+        known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        labelled = known.join(F.broadcast(marks.select("doc_id").distinct()), "doc_id", "left_semi")
+    model = train(materialize(with_statistics(labelled), "quality-statistics"), marks)
     named = docs.select(F.struct("*").alias("row"), _statistics(text_bytes()).alias("x"))
     return named.filter(_score_with(model)("x") >= threshold).select("row.*")
