@@ -6,10 +6,11 @@ chi-square law, so projected neighbours taken in order can stop as soon as a
 point that far out would, with probability ``confidence``, not be nearer than the
 k-th neighbour verified so far.
 
-A kd-tree over the projected space cuts the vectors into cells, large cells
-further into blocks of bounded size. Each query is answered first in its own cell;
-its k-th distance there names the cells that the stopping test still allows, and
-those are searched next. Inside a block a kd-tree of its own gives the neighbours in order.
+A kd-tree over the projected space cuts the vectors into cells. Its upper part comes
+from a sample of all vectors, the lower part of each large cell from a sample of that
+cell, made in a task. Each query is answered first in its own cell; its k-th distance
+there names the cells that the stopping test still allows, and those are searched
+next. Inside a cell a kd-tree of its own gives the neighbours in order.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ CONFIDENCE = 0.995
 # Rows wanted in a cell, and at most (on average) in a block.
 CELL_ROWS = 4096
 BLOCK_ROWS = 8192
-# The splits of the cells come from at most so many rows, the first in a fixed pseudo-random order.
-SAMPLE_ROWS = 20_000
-MAX_DEPTH = 10
+# The upper splits come from at most so many rows, the first in a fixed pseudo-random order, the lower ones of a cell from
+# about so many of its rows; a split is made of this many sampled rows at least.
+SAMPLE_ROWS, CELL_SAMPLE, SPLIT_ROWS = 20_000, 4096, 16
 LEAF_ROWS = 64
 # Queries that one task answers from one block.
 QUERY_ROWS = 4096
@@ -151,6 +152,43 @@ class Block:
 
 
 _POINT = "vec_id long, vector array<double>, point array<double>, cell int"
+# A cell is named by its place in the upper tree, and in the lower one.
+CELL = ["cell", "sub"]
+
+
+def _lower_splits(cell_rows: int):
+    """The lower tree of one cell, from its sampled points."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        points = np.stack(pdf["point"].to_numpy())
+        wanted = math.ceil(math.log2(pdf["held"].iloc[0] / cell_rows))
+        found = split_cells(points, max(0, min(wanted, int(math.log2(max(1, len(points) / SPLIT_ROWS))))))
+        return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "axis": [found.axis], "cut": [found.cut], "depth": [found.depth]})
+
+    return run
+
+
+def _with_sub(points: DataFrame) -> DataFrame:
+    """The points with ``sub``, their place in the lower tree of their cell; 0 in cells that are not large."""
+    held = points.groupBy("cell").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > BLOCK_ROWS)
+    large = materialize(held, "neighbour-large")  # at most a row for each cell of the upper tree
+    if not row_bound(large):
+        return points.withColumn("sub", F.lit(0))
+    every = F.ceil(F.col("held") / CELL_SAMPLE)
+    sample = points.join(F.broadcast(large), "cell").filter(F.pmod(F.xxhash64(F.monotonically_increasing_id()), every) == 0)
+    splits = sample.groupBy("cell").applyInPandas(_lower_splits(CELL_ROWS), "cell int, axis array<long>, cut array<double>, depth int")
+    lower = {r["cell"]: Cells(np.array(r["axis"], np.int64), np.array(r["cut"]), r["depth"]) for r in splits.collect()}
+
+    @F.pandas_udf("int")
+    def place(cell: pd.Series, point: pd.Series) -> pd.Series:
+        out, cells = np.zeros(len(cell), np.int32), cell.to_numpy()
+        for c in np.unique(cells).tolist():
+            if c in lower and lower[c].depth:
+                rows = np.flatnonzero(cells == c)
+                out[rows] = lower[c].of(np.stack(point.to_numpy()[rows]))
+        return pd.Series(out)
+
+    return materialize(points.withColumn("sub", place("cell", "point")), "neighbour-points")
 
 
 def _place(matrix: np.ndarray, cells: Cells):
@@ -180,8 +218,8 @@ def _usable(vectors: DataFrame) -> DataFrame:
 def _boxes(points: DataFrame, m: int) -> list:
     lows = [F.min(F.col("point")[i]).alias(f"l{i}") for i in range(m)]
     highs = [F.max(F.col("point")[i]).alias(f"h{i}") for i in range(m)]
-    # One row per cell, so at most 2 ** MAX_DEPTH.
-    return points.groupBy("cell").agg(F.count(F.lit(1)).alias("held"), *lows, *highs).collect()
+    # One row for each cell of about CELL_ROWS vectors.
+    return points.groupBy(*CELL).agg(F.count(F.lit(1)).alias("held"), *lows, *highs).collect()
 
 
 def _search(k: int, quantile: float):
@@ -200,15 +238,15 @@ def _search(k: int, quantile: float):
 def _answers(blocks: DataFrame, visits: DataFrame, k: int, quantile: float) -> DataFrame:
     """The nearest of each visited block; a block that many queries visit is searched by several tasks."""
     visits = materialize(visits, "neighbour-visits")
-    tasks = visits.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("tasks"))
+    tasks = visits.groupBy(*CELL, "block").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("tasks"))
     tasks = materialize(tasks, "neighbour-tasks")
-    data = blocks.join(tasks, ["cell", "block"]).withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
-    asked = visits.join(tasks, ["cell", "block"]).withColumn("task", F.pmod(F.xxhash64("query_id"), F.col("tasks")).cast("int"))
-    asked = asked.select(*[F.col(c).alias(f"to_{c}") for c in ("cell", "block", "task")], "query_id", "vector", "point", "radius")
+    data = blocks.join(tasks, [*CELL, "block"]).withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
+    asked = visits.join(tasks, [*CELL, "block"]).withColumn("task", F.pmod(F.xxhash64("query_id"), F.col("tasks")).cast("int"))
+    asked = asked.select(*[F.col(c).alias(f"to_{c}") for c in (*CELL, "block", "task")], "query_id", "vector", "point", "radius")
     found = (
-        data.select("cell", "block", "task", "vec_id", "vector", "point")
-        .groupBy("cell", "block", "task")
-        .cogroup(asked.groupBy("to_cell", "to_block", "to_task"))
+        data.select(*CELL, "block", "task", "vec_id", "vector", "point")
+        .groupBy(*CELL, "block", "task")
+        .cogroup(asked.groupBy("to_cell", "to_sub", "to_block", "to_task"))
         .applyInPandas(_search(k, quantile), "query_id long, vec_id long, score double")
     )
     return materialize(found, "neighbour-found")
@@ -223,29 +261,30 @@ def _allowed(boxes: list, m: int, quantile: float, home: bool):
     """Expands queries to the blocks they visit: all of their own cell, or those of others within reach."""
     low = np.array([[r[f"l{i}"] for i in range(m)] for r in boxes])
     high = np.array([[r[f"h{i}"] for i in range(m)] for r in boxes])
-    cell = np.array([r["cell"] for r in boxes])
+    cell, sub = (np.array([r[c] for r in boxes]) for c in CELL)
     blocks = np.array([-(-r["held"] // BLOCK_ROWS) for r in boxes])
 
     def run(batches):
         for pdf in batches:
-            for q, v, p, own, radius in zip(pdf["query_id"], pdf["vector"], pdf["point"], pdf["cell"], pdf["radius"]):
+            for q, v, p, own, lower, radius in zip(*(pdf[c] for c in ("query_id", "vector", "point", *CELL, "radius"))):
+                own = (cell == own) & (sub == lower)
                 if home:
-                    rows = np.flatnonzero(cell == own)
+                    rows = np.flatnonzero(own)
                 else:
                     away = box_distances(low, high, np.asarray(p))
-                    rows = np.flatnonzero((away <= quantile * radius * radius * (1 + 1e-9) + 1e-12) & (cell != own))
+                    rows = np.flatnonzero((away <= quantile * radius * radius * (1 + 1e-9) + 1e-12) & ~own)
                 if not len(rows):
                     continue
-                cells = np.repeat(cell[rows], blocks[rows])
+                cells, subs = np.repeat(cell[rows], blocks[rows]), np.repeat(sub[rows], blocks[rows])
                 numbers = np.concatenate([np.arange(n) for n in blocks[rows]])
                 yield pd.DataFrame(
-                    {"cell": cells, "block": numbers, "query_id": q, "vector": [v] * len(cells), "point": [p] * len(cells), "radius": radius}
+                    {"cell": cells, "sub": subs, "block": numbers, "query_id": q, "vector": [v] * len(cells), "point": [p] * len(cells), "radius": radius}
                 )
 
     return run
 
 
-_VISIT = "cell int, block int, query_id long, vector array<double>, point array<double>, radius double"
+_VISIT = "cell int, sub int, block int, query_id long, vector array<double>, point array<double>, radius double"
 
 
 def nearest_neighbours(
@@ -268,17 +307,19 @@ def nearest_neighbours(
         return empty
     usable = usable.filter(F.size("vector") == usual["dims"])
     matrix = projection(usual["dims"], m)
-    depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(usual["count"] / CELL_ROWS))))
+    most = int(math.log2(max(1, SAMPLE_ROWS / SPLIT_ROWS)))
+    depth = min(most, max(0, math.ceil(math.log2(usual["count"] / CELL_ROWS))))
     sample = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("vector").collect()
     cells = split_cells(_projected(np.array([r["vector"] for r in sample]), matrix), depth)
-    points = materialize(usable.mapInPandas(_place(matrix, cells), _POINT), "neighbour-points")
+    points = _with_sub(materialize(usable.mapInPandas(_place(matrix, cells), _POINT), "neighbour-points"))
     boxes = _boxes(points, m)
-    counts = spark.createDataFrame([(r["cell"], -(-r["held"] // BLOCK_ROWS)) for r in boxes], "cell int, blocks long")
+    # Vectors that no cut parts, or of a cell that its sample shows too small, are dealt out inside their cell.
+    counts = spark.createDataFrame([(r["cell"], r["sub"], -(-r["held"] // BLOCK_ROWS)) for r in boxes], "cell int, sub int, blocks long")
     number = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
-    blocks = points.join(F.broadcast(counts), "cell").withColumn("block", number).drop("blocks")
+    blocks = points.join(F.broadcast(counts), CELL).withColumn("block", number).drop("blocks")
 
     quantile = chi_square_quantile(confidence, m)
-    queries = points.filter(asked).groupBy("vec_id").agg(F.min(F.struct("vector", "point", "cell")).alias("q"))
+    queries = points.filter(asked).groupBy("vec_id").agg(F.min(F.struct("vector", "point", *CELL)).alias("q"))
     queries = queries.select(F.col("vec_id").alias("query_id"), "q.*", F.lit(float("inf")).alias("radius"))
     queries = materialize(queries, "neighbour-queries")
     if not row_bound(queries):

@@ -66,3 +66,36 @@ def test_recall_of_the_query_with_many_cells(spark, sf_dir, monkeypatch):
         hits, total = hits + len(set(best.tolist()) & set(got[q])), total + 10
         assert all(s == pytest.approx(d[ids == v][0], rel=1e-12) for v, s in got[q].items())
     assert hits / total >= 0.9
+
+
+@pytest.mark.parametrize("sample", [64, nn.SAMPLE_ROWS])
+def test_vectors_with_structure_visit_few_cells(spark, monkeypatch, sample):
+    """Clusters in 32 dimensions, with cells from a small sample and lower trees, or from the upper tree alone."""
+    for name, value in (("CELL_ROWS", 40), ("BLOCK_ROWS", 60), ("SAMPLE_ROWS", sample), ("CELL_SAMPLE", 600)):
+        monkeypatch.setattr(nn, name, value)
+    kept, written = {}, nn.materialize
+
+    def counted(df, label):
+        out = written(df, label)
+        kept.setdefault(label, []).append(nn.row_bound(out))
+        return out
+
+    monkeypatch.setattr(nn, "materialize", counted)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 1, (40, 32))
+    x = centres[rng.integers(0, 40, 3000)] + rng.normal(0, 0.05, (3000, 32))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    boxes = []
+    allowed = nn._allowed
+    monkeypatch.setattr(nn, "_allowed", lambda found, *rest, **more: boxes.append(found) or allowed(found, *rest, **more))
+    got = {}
+    for r in nn.nearest_neighbours(frame, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, 3000, 50):
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(set(np.argsort(d)[:10].tolist()) & got[q])
+    assert hits / 600 >= 0.9
+    assert len(boxes[0]) > 40 and (len({r["cell"] for r in boxes[0]}) <= 4) == (sample == 64)
+    assert sum(kept["neighbour-visits"]) <= 60 * len(boxes[0]) / 4
