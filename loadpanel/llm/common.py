@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -42,8 +43,19 @@ def lower_ascii(column: str | Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Spark keeps a worker for the next task, often of another operator."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column`` has about ``limit`` bytes in each, one row at least."""
+    """The batches cut so that ``column`` has about ``limit`` bytes in each, one row at least.
+
+    At their end, which is that of a task, memory is given back.
+    """
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
         sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
@@ -55,3 +67,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20)
             held += n
         if start < len(sizes):
             yield batch.slice(start)
+    give_back()
