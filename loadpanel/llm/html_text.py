@@ -64,7 +64,7 @@ SOFT_WORDS = frozenset(
     "search form skip".split()
 )
 HARD_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising adsense adslot banner sponsor sponsors sponsored promo "
+    "ad ads adsbygoogle adv advert adverts advertisement advertisements advertising adsense adslot banner sponsor sponsors sponsored promo "
     "promos promotion sidebar aside footer cookie cookies consent gdpr notice notices notification notifications alert alerts "
     "popup modal overlay disclaimer copyright newsletter subscribe subscription share sharing social related recommended "
     "recommendations widget comment comments commentlist disqus respond reply replies discussion".split()
@@ -72,6 +72,7 @@ HARD_WORDS = frozenset(
 # A modifier such as has-sidebar or no-comments names no part of the page.
 MODIFIERS = frozenset("has with no not is without js wp".split())
 
+HEADER = re.compile(r"(?i)header|masthead")
 OPEN = re.compile(r"<([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""[\s/]*(?:(>)|([^\s/>=][^\s/>=]*|=[^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*))?)?)""")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -174,7 +175,8 @@ class _Page:
         named = None if name in ("html", "body", "main") else _named(f"{attributes.get('class', '')} {attributes.get('id', '')}")
         if name in HARD or role in HARD_ROLES or named == "hard":
             return "hard"
-        if name == "header" and any(self.tag[e] in AHEAD for e in self._open):
+        header = name == "header" or (named == "soft" and HEADER.search(f"{attributes.get('class', '')} {attributes.get('id', '')}"))
+        if header and any(self.tag[e] in AHEAD for e in self._open):
             return "heading"  # the article's own header: its headings belong to it
         return "soft" if name in SOFT or role in SOFT_ROLES or named == "soft" else None
 

@@ -25,6 +25,7 @@ def page(body):
         (f"<section id=comments><article><p>{LINE * 3}</p></article></section><main><p>{LINE}</p></main>", LINE),
         (f"<div class=has-sidebar><div class=post><p>{LINE}</p></div><div class=sidebar><p>{LINE}</p></div></div>", LINE),
         (f"<article><header><h1>Name</h1><p>by line</p></header><p>{LINE}</p><aside>{LINE}</aside></article>", f"Name\n\n{LINE}"),
+        (f"<main><div class='article-header'><h1>Name</h1><span>share</span></div><p>{LINE}</p><div class='adsbygoogle'>buy</div></main>", f"Name\n\n{LINE}"),
         (f"<form><input><main><p>{LINE}</p></main><select><option>a<option>b</select></form>", LINE),
         (f"<div><p>{LINE}</p><ul><li><a href=a>one</a><li><a href=b>two</a><li><a href=c>three</a></ul></div>", LINE),
         (f"<article><p>a <!-- {LINE} --> b<br>c &amp; d&nbsp;&#233;&lt;p&gt;</p></article>", "a b c & d é<p>"),
