@@ -23,10 +23,10 @@ from dataclasses import dataclass, field
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loadpanel.llm.common import new_folder, slices, text_bytes
-from loadpanel.scale import lookup_join, materialize
+from loadpanel.scale import lookup_join, materialize, row_bound
 
 VERSION = b"WARC/1.0"
 # Every record of one run carries the same date, so that reruns write equal records.
@@ -45,6 +45,13 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark gives it, so that every task opens the same one."""
+    spark.range(1).write.mode("overwrite").parquet(f"{folder}/here")
+    found = spark.read.parquet(f"{folder}/here").select("_metadata.file_path").first()[0]
+    return found.rpartition("/here/")[0]
+
+
 def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -310,13 +317,16 @@ def normalise(
     ``decided`` (file, page_id, payload_digest, refers_to) names records to be written as revisits.
     One task inflates a file, in a bounded buffer; it holds one record at a time.
     """
-    names = files.select(F.col("file").alias("name")).distinct()
+    names = materialize(files.select(F.col("file").alias("name")).distinct(), "warc-names")
+    # Names are a few bytes each and would all be put into one task; a file is a task's worth of work.
+    tasks = 2 * max(1, row_bound(names))
     if decided is None:
         decided = names.sparkSession.createDataFrame([], "file string, page_id long, payload_digest string, refers_to long")
     decided = decided.withColumnRenamed("file", "owner")
     new = (
-        names.groupBy("name")
-        .cogroup(decided.groupBy("owner"))
+        names.repartition(tasks, "name")
+        .groupBy("name")
+        .cogroup(decided.repartition(tasks, "owner").groupBy("owner"))
         .applyInPandas(_normalise(source, target, level), "file string, records long, bytes long")
     )
     return materialize(new, "warc-normalised")
@@ -409,8 +419,10 @@ def read_archives(
     The payload of a response is checked against its digest. A revisit has none;
     its size and digest are those of the payload it refers to.
     """
-    ranges = files.select("file").mapInPandas(_ranges(folder, read_bytes), "file string, start long, size long")
-    spread = ranges.repartition("file", "start")
+    found = files.select("file").mapInPandas(_ranges(folder, read_bytes), "file string, start long, size long")
+    ranges = materialize(found, "warc-ranges")
+    # As many tasks as runs: each is a few bytes here and ``read_bytes`` of work.
+    spread = ranges.repartition(max(1, row_bound(ranges)))
     return spread.mapInArrow(_read(folder, with_payload), _RECORD)
 
 
@@ -423,7 +435,7 @@ def roundtrip(pages: DataFrame, folder: str | None = None, file_bytes: int = FIL
     repeats with different payloads, each row is judged by its own payload. Other
     columns are not written. Without rows, no rows.
     """
-    folder = folder or new_folder(pages.sparkSession, "warc")
+    folder = qualified(pages.sparkSession, folder or new_folder(pages.sparkSession, "warc"))
     crawl, archive = f"{folder}/crawl", f"{folder}/archive"
     written = write_archives(pages, crawl, file_bytes)
     new = normalise(written, crawl, archive, revisits(written))
