@@ -59,6 +59,8 @@ WRITTEN = 40
 # Words in this share of the documents, and in two at least, serve as dictionary; of so many letters at least.
 DICTIONARY_SHARE = 1e-6
 DICTIONARY_LETTERS = 3
+# Words of candidates that are broadcast.
+SENT_BYTES = 16 << 20
 # The forest is fitted on at most so many labelled findings, the first in a fixed pseudo-random order.
 TRAINING_ROWS = 20_000
 PATH_GROUPS = 16
@@ -159,11 +161,14 @@ def _neighbours() -> Column:
 def features(found: DataFrame, words: DataFrame) -> DataFrame:
     """The findings with the forest's inputs, one value each also for odd neighbours."""
     runs = F.filter(F.split(F.lower("value"), r"[^\p{L}]+"), lambda w: F.length(w) >= DICTIONARY_LETTERS)
-    # Distinct runs only: a value that thousands of documents share is looked up once.
-    parts = found.select("value").distinct().select("value", F.explode(runs).alias("word"))
-    known = lookup_join(parts, words, ["word"], spread="value")
-    covered = materialize(known.groupBy("value").agg(F.sum(F.length("word")).alias("covered")), "secret-coverage")
-    joined = found.join(F.broadcast(covered) if (row_bound(covered) or 0) <= 100_000 else covered, "value", "left")
+    # Distinct runs only: a value that thousands of documents share is looked up once. It goes by its digest, as it may be long.
+    found = found.withColumn("value_key", F.sha2("value", 256))
+    parts = materialize(found.select("value_key", "value").distinct().select("value_key", F.explode(runs).alias("word")), "secret-words")
+    size = parts.agg(F.sum(F.length("word") + F.lit(80))).first()[0] or 0
+    # Few words are looked for in a long dictionary, so they go to it and not the other way round.
+    known = words.join(F.broadcast(parts), "word") if size <= SENT_BYTES else lookup_join(parts, words, ["word"], spread="value_key")
+    covered = materialize(known.groupBy("value_key").agg(F.sum(F.length("word")).alias("covered")), "secret-coverage")
+    joined = found.join(F.broadcast(covered) if (row_bound(covered) or 0) <= 100_000 else covered, "value_key", "left")
     flag = lambda c: c.cast("double")
     before = F.regexp_replace("before", r"[\s\"'`]+$", "")
     near = joined.withColumn("_near", F.transform(_neighbours(), lambda w: F.pmod(F.crc32(w.cast("binary")), F.lit(WORD_INPUTS))))
@@ -244,7 +249,7 @@ def fit(
     if sample.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(
-        featuresCol="_inputs", labelCol="label", numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="0.4"
+        featuresCol="_inputs", labelCol="label", numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="0.4", maxMemoryInMB=64
     )
     model = forest.fit(_assembled(sample.withColumn("label", F.col("label").cast("double")), inputs))
     # Read back, a model carries no reference to its training session into the tasks.
